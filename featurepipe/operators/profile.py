@@ -12,15 +12,16 @@ from pyspark.sql import types as T
 
 from featurepipe.functions.numeric import as_double
 
-# Sketch accuracy: a sketched quantile is off by at most rows / accuracy ranks.
-DEFAULT_ACCURACY = 100
+# Default rank error of quantiles, as a share of the rows.
+RELATIVE_ERROR = 0.01
 
-# Exact quantiles: cells a value range is cut into per pass, and the row count below which values are listed.
+# Quantiles: cells a value range is cut into per pass, and the row count below which values are listed.
 CELLS = 4096
 LISTED_ROWS = 20_000
 
-# Columns handled in one job. Parquet reads only those columns, so more jobs do not read more bytes.
-COLUMN_BATCH = 64
+# Columns handled in one job: small enough that the aggregate compiles to one method, where a very wide
+# one falls back to interpretation. Parquet reads only those columns, so more jobs do not read more bytes.
+COLUMN_BATCH = 16
 
 
 def batches(items: list, size: int = COLUMN_BATCH) -> Iterable[list]:
@@ -91,7 +92,7 @@ class NumericStats:
     numbers: int
     least: float | None
     greatest: float | None
-    quantiles: list[float] | None
+    quantiles: list[float] | None = None
 
 
 def numeric_stats(
@@ -99,15 +100,13 @@ def numeric_stats(
     columns: list[str],
     probabilities: list[float] | None = None,
     exact: bool = False,
-    accuracy: int = DEFAULT_ACCURACY,
     nan_as_null: bool = False,
 ) -> dict[str, NumericStats]:
     """Count, mean, both standard deviations, extremes and quantiles.
 
     Quantiles and extremes skip NULL and NaN; the moments skip only NULL unless ``nan_as_null``.
-    ``exact`` replaces the sketched quantiles by exact ones (see ``exact_quantiles``).
+    Quantiles are off by at most RELATIVE_ERROR of the ranks, or not at all if ``exact``.
     """
-    probabilities = list(probabilities or [])
     result = {}
     for group in batches(columns):
         measures = [F.count(F.lit(1)).alias("rows")]
@@ -122,15 +121,13 @@ def numeric_stats(
                 F.min(number).alias(f"min{i}"),
                 F.max(number).alias(f"max{i}"),
             ]
-            if probabilities and not exact:
-                measures.append(F.percentile_approx(number, probabilities, accuracy).alias(f"q{i}"))
         row = frame.agg(*measures).first()
         for i, c in enumerate(group):
             names = ("n", "mean", "samp", "pop", "numbers", "min", "max")
-            quantiles = None if exact or not probabilities else row[f"q{i}"]
-            result[c] = NumericStats(row["rows"], *[row[f"{name}{i}"] for name in names], quantiles)
-    if exact and probabilities:
-        for c, values in exact_quantiles(frame, columns, probabilities, known=result).items():
+            result[c] = NumericStats(row["rows"], *[row[f"{name}{i}"] for name in names])
+    if probabilities:
+        error = 0.0 if exact else RELATIVE_ERROR
+        for c, values in quantiles(frame, columns, list(probabilities), error, known=result).items():
             result[c].quantiles = values
     return result
 
@@ -156,30 +153,32 @@ class _Search:
     def range(self) -> tuple:
         return self.column, self.low, self.high, self.edges
 
-    def enter(self, cell_rows: int, skipped: int, low: float, high: float) -> None:
+    def enter(self, cell_rows: int, skipped: int, low: float, high: float, tolerance: float) -> None:
         self.uneven = cell_rows > self.inside / 4
         self.below += skipped
         self.inside, self.low, self.high, self.edges = cell_rows, low, high, ()
-        if low == high:
-            self.answer = low
+        if low == high or cell_rows <= tolerance:
+            self.answer = high if self.rank - self.below > cell_rows / 2 else low
 
 
-def exact_quantiles(
+def quantiles(
     frame: DataFrame,
     columns: list[str],
     probabilities: list[float],
+    relative_error: float = 0.0,
     interpolate: bool = False,
     known: dict[str, NumericStats] | None = None,
 ) -> dict[str, list[float] | None]:
-    """Exact quantiles of numeric columns; NULL and NaN are skipped, a column without values gives None.
+    """Quantiles of numeric columns; NULL and NaN are skipped, a column without values gives None.
 
     ``interpolate=False`` gives the smallest value whose cumulative share reaches the
     probability; ``True`` interpolates between the two neighbouring values.
 
     Spark's exact percentile keeps every distinct value of a column in one buffer. Here each
     pass counts the rows per cell of a value range and moves on to the one cell that holds
-    the wanted rank, until that cell has one value or few enough rows to list. A pass is a
-    grouped count that each task reduces to a few thousand rows: the data is not shuffled.
+    the wanted rank, until that cell has one value or few enough rows to list, or no more
+    rows than the error allows. A pass is a grouped count that each task reduces to a few
+    thousand rows: the data is not shuffled.
     """
     known = known or numeric_stats(frame, columns)
     wanted: dict[str, list[tuple[int, int, float]]] = {}
@@ -195,7 +194,7 @@ def exact_quantiles(
     while pending := [s for s in searches.values() if s.answer is None]:
         _sketch_edges(frame, [s for s in pending if s.uneven and s.inside > LISTED_ROWS])
         for group in batches(_by_range(pending), 16):
-            _count_cells(frame, group)
+            _count_cells(frame, group, {c: relative_error * known[c].numbers for c in columns})
     result: dict[str, list[float] | None] = {c: None for c in columns}
     for c, entries in wanted.items():
         pairs = [(searches[c, low].answer, searches[c, high].answer, weight) for low, high, weight in entries]
@@ -240,7 +239,7 @@ def _sketch_edges(frame: DataFrame, searches: list[_Search]) -> None:
                 s.edges = edges
 
 
-def _count_cells(frame: DataFrame, group: list[list[_Search]]) -> None:
+def _count_cells(frame: DataFrame, group: list[list[_Search]], tolerance: dict[str, float]) -> None:
     """Count rows per cell of each range and let every search enter the cell with its rank."""
     entries = []
     for i, (s, *_) in enumerate(group):
@@ -268,7 +267,7 @@ def _count_cells(frame: DataFrame, group: list[list[_Search]]) -> None:
             skipped = 0
             for row in by_range[i]:
                 if s.rank <= s.below + skipped + row["rows"]:
-                    s.enter(row["rows"], skipped, row["low"], row["high"])
+                    s.enter(row["rows"], skipped, row["low"], row["high"], tolerance[s.column])
                     break
                 skipped += row["rows"]
 
@@ -277,14 +276,14 @@ def medians(
     frame: DataFrame, columns: list[str], known: dict[str, NumericStats] | None = None
 ) -> dict[str, float | None]:
     """Exact medians; the mean of the two middle values when the count is even."""
-    found = exact_quantiles(frame, columns, [0.5], interpolate=True, known=known)
+    found = quantiles(frame, columns, [0.5], interpolate=True, known=known)
     return {c: v[0] if v else None for c, v in found.items()}
 
 
 def constant_columns(frame: DataFrame, columns: list[str]) -> list[str]:
     """Columns with at most one distinct value, NULLs aside. Least and greatest value settle it exactly."""
     constant = []
-    for group in batches(columns, 256):
+    for group in batches(columns, 3 * COLUMN_BATCH):
         row = frame.agg(
             *[
                 F.coalesce(F.min(F.col(f"`{c}`")) == F.max(F.col(f"`{c}`")), F.lit(True)).alias(f"c{i}")

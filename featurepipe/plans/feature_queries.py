@@ -277,10 +277,9 @@ w AS (SELECT {", ".join(f"ln((count(*) + 1) / (count(*) FILTER (WHERE t{i} > 0)
 SELECT doc_id, {", ".join(f"{rounded(f't{i} * w{i}')} AS text__tfidf_hash_{i}" for i in range(BUCKETS))} FROM t, w"""
 )
 def text_hash_tfidf(spark, folder):
-    frame = _documents(spark, folder)
-    fitted = text.fit_text(frame, ["text"], BUCKETS)
+    weighted, _ = text.fit_transform_text(_documents(spark, folder), ["text"], BUCKETS, keep=["doc_id"])
     names = [f"text__tfidf_hash_{i}" for i in range(BUCKETS)]
-    return fitted.transform(frame).select("doc_id", *[F.round(n, 6).alias(n) for n in names])
+    return weighted.select("doc_id", *[F.round(n, 6).alias(n) for n in names])
 
 
 # --- series ------------------------------------------------------------------------------------------------------
@@ -345,9 +344,10 @@ def select_null_constant(spark, folder):
         F.when(F.col("l_linenumber") == 1, F.col("l_tax")).alias("sparse"),
     )
     features = list(_CANDIDATES)
-    outcome = {d["feature"]: d["reason"] for d in select.drop_uninformative(frame, features, 0.4).dropped}
-    ratios = select.feature_profile(frame, features)
-    rows = [(f, round(ratios[f][0], 6), outcome.get(f, "selected")) for f in features]
+    stats = select.feature_profile(frame, features)
+    selection = select.drop_uninformative(frame, features, 0.4, stats)
+    outcome = {d["feature"]: d["reason"] for d in selection.dropped}
+    rows = [(f, round(stats[f].null_ratio, 6), outcome.get(f, "selected")) for f in features]
     return spark.createDataFrame(rows, "feature string, null_ratio double, outcome string")
 
 
