@@ -1,0 +1,40 @@
+"""Every registered query against its SQL twin, and the shape of the driver contract."""
+
+import pytest
+
+import __spark_entry__ as contract
+import oracle
+
+QUERIES, SQL = contract.queries(), contract.oracle_sql()
+
+# Registered without SQL: random, iterative or time-dependent results.
+ROWS_ONLY = {"bernoulli_sample", "train_logistic", "stage_metrics", "feature_matrix", "staged_run"}
+
+
+@pytest.fixture(scope="module")
+def duck(sf):
+    return oracle.connect(sf)
+
+
+def test_contract():
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY and not set(SQL) - set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, sf, duck, name):
+    columns, rows = oracle.spark_rows(QUERIES[name](spark, sf))
+    expected_columns, expected = oracle.duck_rows(duck, SQL[name])
+    assert columns == expected_columns
+    assert len(rows) == len(expected) > 0
+    assert rows == expected
+    assert [type(v) for v in rows[0]] == [type(v) for v in expected[0]]
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+def test_query_runs(spark, sf, name):
+    assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_entry(spark):
+    frame = contract.entry(spark)
+    assert frame.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
