@@ -9,6 +9,8 @@ of the keys is enough to choose them.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 BUCKET_ROWS = 200_000
 MAX_BUCKETS = 4_000
 
+# Up to this many split points are compared one by one.
+PLAIN_COMPARISONS = 64
+
 # Sampled keys per bucket; more make the buckets more even.
 SAMPLES_PER_BUCKET = 20
 
@@ -39,11 +44,11 @@ def split_points(frame: DataFrame, keys: dict[str, Column], rows: int, buckets:
     sample = frame.select(*[key.alias(name) for name, key in keys.items()])
     sample = sample.sample(min(1.0, wanted / rows), seed=17).limit(2 * wanted)
     ordered = sample.agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in keys])
-    chosen = ordered.select(*[_evenly(F.col(name), F.lit(buckets)).alias(name) for name in keys]).first()
+    chosen = ordered.select(*[evenly(F.col(name), F.lit(buckets)).alias(name) for name in keys]).first()
     return {name: list(chosen[name]) for name in keys}
 
 
-def _evenly(ordered: Column, buckets: Column) -> Column:
+def evenly(ordered: Column, buckets: Column) -> Column:
     """The distinct elements at each 1/buckets of an ordered array."""
     places = F.when(buckets > 1, F.sequence(F.lit(1), buckets - 1)).otherwise(F.array().cast("array<int>"))
     picked = F.transform(places, lambda i: F.get(ordered, F.floor(i * F.size(ordered) / buckets).cast("int")))
@@ -59,17 +64,33 @@ def blocks_of(points: Column) -> Column:
     return F.transform(starts, lambda at: F.slice(points, at, width))
 
 
-def bucket_of(key: Column, blocks: Column) -> Column:
-    """How many split points are at or below the key: 0 for the first bucket."""
-    passed = F.filter(blocks, lambda block: F.get(block, F.lit(0)) <= key)
-    last = F.try_element_at(passed, F.lit(-1))
-    full = F.coalesce((F.size(passed) - 1) * F.size(F.get(blocks, F.lit(0))), F.lit(0))
-    inside = F.coalesce(F.size(F.filter(last, lambda point: point <= key)), F.lit(0))
-    return F.when(F.size(passed) > 0, full + inside).otherwise(F.lit(0))
+def with_bucket(frame: DataFrame, name: str, key: Column, blocks: Column) -> DataFrame:
+    """Add how many split points (as blocks, from a column) are at or below the key: 0 for the first bucket.
+
+    The count of passed blocks is a projection of its own, so that it is computed once per row.
+    """
+    passed = "__passed_blocks"
+    counted = frame.withColumn(passed, F.size(F.filter(blocks, lambda block: F.get(block, F.lit(0)) <= key)))
+    at = F.col(passed) - 1
+    inside = F.size(F.filter(F.get(blocks, at), lambda point: point <= key))
+    bucket = F.when(at < 0, F.lit(0)).otherwise(at * F.size(F.get(blocks, F.lit(0))) + inside)
+    return counted.withColumn(name, bucket).drop(passed)
+
+
+def bucket_among(key: Column, points: list, spark_type: str) -> Column:
+    """The same for split points the driver holds. Plain comparisons compile, where array functions do not."""
+    if len(points) <= PLAIN_COMPARISONS:
+        return _passed(key, points, spark_type)
+    width = math.ceil(math.sqrt(len(points)))
+    blocks = [points[i : i + width] for i in range(0, len(points), width)]
+    at = _passed(key, [b[0] for b in blocks], spark_type) - 1
+    table = F.array(*[F.array(*[_literal(p).cast(spark_type) for p in b]) for b in blocks])
+    inside = F.size(F.filter(F.get(table, at), lambda point: point <= key))
+    return F.when(at < 0, F.lit(0)).otherwise(at * width + inside)
 
 
-def literal_points(points: list, spark_type: str) -> Column:
-    return F.array(*[_literal(p) for p in points]).cast(f"array<{spark_type}>")
+def _passed(key: Column, points: list, spark_type: str) -> Column:
+    return reduce(add, [(key >= _literal(p).cast(spark_type)).cast("int") for p in points], F.lit(0))
 
 
 def _literal(value) -> Column:
@@ -84,7 +105,7 @@ def with_global_rank(frame: DataFrame, order: dict[str, Column], rank: str, rows
     spark_type = frame.select(key.alias("key")).schema["key"].dataType.simpleString()
     points = split_points(frame, {"key": key}, rows, bucket_count(rows))["key"]
     bucket, start = "__bucket", "__start"
-    bucketed = frame.withColumn(bucket, bucket_of(key, blocks_of(literal_points(points, spark_type))))
+    bucketed = frame.withColumn(bucket, bucket_among(key, points, spark_type))
     sizes = dict(bucketed.groupBy(bucket).count().collect())
     starts, total = [], 0
     for b in sorted(sizes):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from featurepipe.functions.numeric import as_double
 RELATIVE_ERROR = 0.01
 
 # Quantiles: cells a value range is cut into per pass, and the row count below which values are listed.
-CELLS = 4096
+CELLS = 1024
 LISTED_ROWS = 20_000
 
 # Columns handled in one job: small enough that the aggregate compiles to one method, where a very wide
@@ -87,13 +89,18 @@ class NumericStats:
     rows: int
     non_null: int
     mean: float | None
-    std_sample: float | None
     std_population: float | None
     numbers: int
     least: float | None
     greatest: float | None
     quantiles: list[float] | None = None
 
+    @property
+    def std_sample(self) -> float | None:
+        """NULL for fewer than two values, like the SQL function."""
+        n = self.non_null
+        return self.std_population * math.sqrt(n / (n - 1)) if n > 1 else None
+
 
 def numeric_stats(
     frame: DataFrame,
@@ -115,15 +122,14 @@ def numeric_stats(
             measures += [
                 F.count(value).alias(f"n{i}"),
                 F.avg(value).alias(f"mean{i}"),
-                F.stddev_samp(value).alias(f"samp{i}"),
-                F.stddev_pop(value).alias(f"pop{i}"),
+                F.stddev_pop(value).alias(f"std{i}"),
                 F.count(number).alias(f"numbers{i}"),
                 F.min(number).alias(f"min{i}"),
                 F.max(number).alias(f"max{i}"),
             ]
         row = frame.agg(*measures).first()
         for i, c in enumerate(group):
-            names = ("n", "mean", "samp", "pop", "numbers", "min", "max")
+            names = ("n", "mean", "std", "numbers", "min", "max")
             result[c] = NumericStats(row["rows"], *[row[f"{name}{i}"] for name in names])
     if probabilities:
         error = 0.0 if exact else RELATIVE_ERROR
@@ -241,19 +247,22 @@ def _sketch_edges(frame: DataFrame, searches: list[_Search]) -> None:
 
 def _count_cells(frame: DataFrame, group: list[list[_Search]], tolerance: dict[str, float]) -> None:
     """Count rows per cell of each range and let every search enter the cell with its rank."""
-    entries = []
+    entries, wanted = [], []
     for i, (s, *_) in enumerate(group):
         value = as_double(s.column, True)
+        wanted.append(value.between(s.low, s.high))
         if s.inside <= LISTED_ROWS:
             cell = value
         elif s.edges:
             cell = F.size(F.filter(F.array(*[F.lit(e) for e in s.edges]), lambda e: e <= value)).cast("double")
         else:
             cell = F.floor((value - F.lit(s.low)) * F.lit(CELLS / (s.high - s.low))).cast("double")
-        covered = F.when(value.between(s.low, s.high), value)
+        covered = F.when(wanted[i], value)
         entries.append(F.struct(F.lit(i).alias("range"), cell.alias("cell"), covered.alias("value")))
     cells = (
-        frame.select(F.inline(F.array(*entries)))
+        # Rows outside all ranges are skipped at once; late passes look at few rows.
+        frame.where(reduce(or_, wanted))
+        .select(F.inline(F.array(*entries)))
         .where(F.col("value").isNotNull())
         .groupBy("range", "cell")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))

@@ -16,7 +16,7 @@ from featurepipe.plans.registry import query, rounded, table
 LINES_SQL = """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS l_quantity,
        l_extendedprice, l_discount, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_tax END AS l_tax,
-       CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS returned
+       CAST(l_returnflag = 'R' AS DOUBLE) AS returned
 FROM lineitem"""
 
 
@@ -49,10 +49,10 @@ capped AS (SELECT lines.*, stats.*, {", ".join(_capped_sql(c) for c in PRICES)}
 
 
 def _numeric_sql(c: str) -> str:
-    return f"""CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END AS {c}__is_missing, {c}__capped,
+    return f"""CAST({c} IS NULL AS DOUBLE) AS {c}__is_missing, {c}__capped,
   {rounded(f"({c}__capped - {c}_mean) / {c}_std")} AS {c}__scaled,
-  CASE WHEN {c}__capped <= {c}_low THEN 0.0 WHEN {c}__capped <= {c}_mid THEN 1.0
-       WHEN {c}__capped <= {c}_high THEN 2.0 ELSE 3.0 END AS {c}__bin"""
+  CAST(CASE WHEN {c}__capped <= {c}_low THEN 0 WHEN {c}__capped <= {c}_mid THEN 1
+       WHEN {c}__capped <= {c}_high THEN 2 ELSE 3 END AS DOUBLE) AS {c}__bin"""
 
 
 @query(f"{_SCALED_LINES}\nSELECT l_orderkey, {', '.join(_numeric_sql(c) for c in PRICES)}, returned FROM capped")
@@ -220,7 +220,7 @@ BUCKETS = 16
 
 
 def _documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return table(spark, folder, "documents", spread=True).select("doc_id", "text")
 
 
 @query(

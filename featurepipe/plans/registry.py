@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from featurepipe.sources.readers import read_parquet
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,8 +26,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    return read_parquet(spark, f"{folder}/{name}.parquet", spread=spread)
 
 
 def rounded(expression: str) -> str:

@@ -40,12 +40,23 @@ def read_parquet(
     uri: str,
     columns: list[str] | None = None,
     where: Column | str | None = None,
+    spread: bool = False,
 ) -> DataFrame:
-    """Read Parquet; the projection and the filter both reach the scan."""
+    """Read Parquet; the projection and the filter both reach the scan.
+
+    ``spread`` deals the rows out over all cores if the scan has fewer splits than there are
+    cores. That is for costly work on a table in few files. A table that spans fewer splits
+    than cores is small, so the shuffle is bounded; any larger table is read as it lies.
+    """
     frame = spark.read.parquet(uri)
     if where is not None:
         frame = frame.where(where)
-    return frame.select(*columns) if columns else frame
+    if columns:
+        frame = frame.select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and frame.rdd.getNumPartitions() < cores:
+        frame = frame.repartition(cores)
+    return frame
 
 
 def read_training_matrix(

@@ -1,0 +1 @@
+"""Structured Streaming use of fitted generators and models."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import decimal
 import math
 
 import duckdb
@@ -22,8 +21,6 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, decimal.Decimal):
-        return float(value)
     if isinstance(value, float):
         return "NaN" if math.isnan(value) else value
     if isinstance(value, datetime.datetime):
