@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
+# For each open ``temporary_tables`` block, the tables written inside it.
+_OPEN_BLOCKS: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it.
@@ -38,5 +43,24 @@ def materialize(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     uri = staging_uri(spark, name)
+    for block in _OPEN_BLOCKS:
+        block.append(uri)
     frame.write.parquet(uri)
     return spark.read.schema(frame.schema).parquet(uri)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` writes inside the block when it ends.
+
+    Frames built on them cannot be read afterwards, so write the results before leaving.
+    """
+    written: list[str] = []
+    _OPEN_BLOCKS.append(written)
+    try:
+        yield
+    finally:
+        _OPEN_BLOCKS[:] = [block for block in _OPEN_BLOCKS if block is not written]
+        for uri in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,6 @@
 import datetime
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,21 @@ def test_staging_uses_the_configured_folder(spark):
     assert staging.staging_uri(spark, "t") != staging.staging_uri(spark, "t")
 
 
+def test_temporary_tables(spark):
+    def exists(frame):
+        return all(Path(f.removeprefix("file:")).exists() for f in files[frame])
+
+    kept = staging.materialize(spark.range(5), "kept")
+    with staging.temporary_tables(spark):
+        outer = staging.materialize(spark.range(5), "outer")
+        with staging.temporary_tables(spark):
+            inner = staging.materialize(spark.range(5), "inner")
+            files = {f: f.inputFiles() for f in (kept, outer, inner)}
+            assert exists(inner)
+        assert exists(outer) and not exists(inner)
+    assert exists(kept) and not exists(outer)
+
+
 @pytest.fixture(scope="module")
 def source(spark, tmp_path_factory):
     r = random.Random(11)
