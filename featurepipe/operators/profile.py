@@ -94,6 +94,7 @@ class NumericStats:
     least: float | None
     greatest: float | None
     quantiles: list[float] | None = None
+    median: float | None = None
 
     @property
     def std_sample(self) -> float | None:
@@ -108,11 +109,13 @@ def numeric_stats(
     probabilities: list[float] | None = None,
     exact: bool = False,
     nan_as_null: bool = False,
+    median: bool = False,
 ) -> dict[str, NumericStats]:
     """Count, mean, both standard deviations, extremes and quantiles.
 
     Quantiles and extremes skip NULL and NaN; the moments skip only NULL unless ``nan_as_null``.
     Quantiles are off by at most RELATIVE_ERROR of the ranks, or not at all if ``exact``.
+    ``median`` adds the interpolated median, with the same error, from the same passes.
     """
     result = {}
     for group in batches(columns):
@@ -131,10 +134,12 @@ def numeric_stats(
         for i, c in enumerate(group):
             names = ("n", "mean", "std", "numbers", "min", "max")
             result[c] = NumericStats(row["rows"], *[row[f"{name}{i}"] for name in names])
-    if probabilities:
-        error = 0.0 if exact else RELATIVE_ERROR
-        for c, values in quantiles(frame, columns, list(probabilities), error, known=result).items():
-            result[c].quantiles = values
+    if probabilities or median:
+        wanted = [(p, False) for p in probabilities or []] + ([(0.5, True)] if median else [])
+        for c, values in _find_quantiles(frame, columns, wanted, 0.0 if exact else RELATIVE_ERROR, result).items():
+            if values:
+                result[c].median = values.pop() if median else None
+                result[c].quantiles = values
     return result
 
 
@@ -187,13 +192,24 @@ def quantiles(
     thousand rows: the data is not shuffled.
     """
     known = known or numeric_stats(frame, columns)
+    return _find_quantiles(frame, columns, [(p, interpolate) for p in probabilities], relative_error, known)
+
+
+def _find_quantiles(
+    frame: DataFrame,
+    columns: list[str],
+    points: list[tuple[float, bool]],
+    relative_error: float,
+    known: dict[str, NumericStats],
+) -> dict[str, list[float] | None]:
+    """Quantiles for (probability, interpolate) pairs, given the counts and extremes of the columns."""
     wanted: dict[str, list[tuple[int, int, float]]] = {}
     searches: dict[tuple[str, int], _Search] = {}
     for c in columns:
         n = known[c].numbers
         if not n:
             continue
-        wanted[c] = [_ranks(n, p, interpolate) for p in probabilities]
+        wanted[c] = [_ranks(n, p, interpolate) for p, interpolate in points]
         for rank in {r for low, high, _ in wanted[c] for r in (low, high)}:
             search = searches[c, rank] = _Search(c, rank, known[c].least, known[c].greatest, 0, n)
             search.answer = search.low if search.low == search.high else None

@@ -156,6 +156,20 @@ def category_frequency(spark, folder):
     return fitted.transform(frame).select("c_custkey", "c_mktsegment__frequency")
 
 
+@query(
+    """
+WITH n AS (SELECT l_partkey AS v, count(*) AS n FROM lineitem GROUP BY 1),
+     r AS (SELECT v, n, row_number() OVER (ORDER BY n DESC, CAST(v AS VARCHAR)) - 1 AS i FROM n)
+SELECT l_orderkey, l_partkey, CAST(i AS DOUBLE) AS l_partkey__index,
+       n / (SELECT count(*) FROM lineitem) AS l_partkey__frequency
+FROM lineitem JOIN r ON l_partkey = v"""
+)
+def many_categories(spark, folder):
+    """A column with so many categories that, from some size on, they are not broadcast."""
+    frame = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    return categorical.fit_categories(frame, ["l_partkey"]).transform(frame)
+
+
 @query(
     """
 SELECT l_orderkey, l_linenumber,
@@ -305,6 +319,24 @@ def lag_rolling(spark, folder):
     )
 
 
+@query(
+    f"""
+SELECT event_id, lag(value, 1) OVER w AS value__lag_1, lag(value, 3) OVER w AS value__lag_3,
+       {rounded(_ROLLING)} AS value__rolling_mean_3
+FROM events WINDOW w AS (ORDER BY ts NULLS FIRST, event_id)"""
+)
+def lag_whole_table(spark, folder):
+    """One series without entities: cut into ordered pieces once it is longer than a task should handle."""
+    frame = table(spark, folder, "events").select("event_id", "ts", "value")
+    fitted = lag.fit_lags(["value"], "ts", None, ["event_id"])
+    return fitted.transform(frame).select(
+        "event_id",
+        "value__lag_1",
+        "value__lag_3",
+        F.round("value__rolling_mean_3", 6).alias("value__rolling_mean_3"),
+    )
+
+
 # --- selection ---------------------------------------------------------------------------------------------------
 
 
