@@ -13,6 +13,7 @@ from functools import reduce
 from operator import add
 
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +65,25 @@ def blocks_of(points: Column) -> Column:
     return F.transform(starts, lambda at: F.slice(points, at, width))
 
 
+def with_number_buckets(frame: DataFrame, names: dict[str, str], points: dict[str, list[float]]) -> DataFrame:
+    """For each number column add, under the given name, how many of its split points are at or below the value.
+
+    Numbers have a compiled binary search in Spark ML. NaN gets the last bucket, NULL gets none.
+    """
+    cut = {c: sorted({p + 0.0 for p in points[c]}) for c in names}
+    columns = [c for c in names if cut[c]]
+    if columns:
+        frame = Bucketizer(
+            splitsArray=[[-math.inf, *[p for p in cut[c] if math.isfinite(p)], math.inf] for c in columns],
+            inputCols=columns,
+            outputCols=[names[c] for c in columns],
+            handleInvalid="keep",
+        ).transform(frame)
+    return frame.withColumns(
+        {name: F.col(name).cast("int") if cut[c] else F.lit(0) for c, name in names.items()}
+    )
+
+
 def with_bucket(frame: DataFrame, name: str, key: Column, blocks: Column) -> DataFrame:
     """Add how many split points (as blocks, from a column) are at or below the key: 0 for the first bucket.
 
