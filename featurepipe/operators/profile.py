@@ -266,7 +266,8 @@ def _count_cells(frame: DataFrame, group: list[list[_Search]], tolerance: dict[s
     entries, wanted = [], []
     for i, (s, *_) in enumerate(group):
         value = as_double(s.column, True)
-        wanted.append(value.between(s.low, s.high))
+        # A plain comparison (NaN is above any number), so that it can be pushed into the scan.
+        wanted.append(as_double(s.column).between(s.low, s.high))
         if s.inside <= LISTED_ROWS:
             cell = value
         elif s.edges:

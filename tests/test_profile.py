@@ -114,3 +114,20 @@ def test_jobs_do_not_grow_with_columns(spark):
         return found
 
     assert jobs(2) == jobs(12)
+
+
+def test_passes_push_their_range_into_the_scan(spark, sf, monkeypatch):
+    """Late quantile passes read only the column they need and skip what lies outside the range."""
+    plans = []
+    original = type(spark.range(1)).collect
+
+    def spy(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return original(frame)
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", spy)
+    frame = spark.read.parquet(f"{sf}/lineitem.parquet")
+    profile.quantiles(frame, ["l_extendedprice"], [0.5])
+    passes = [p for p in plans if "cell" in p]
+    assert passes and all("ReadSchema: struct<l_extendedprice:double>" in p for p in passes)
+    assert "GreaterThanOrEqual(l_extendedprice" in passes[-1] and "Python" not in passes[-1]
