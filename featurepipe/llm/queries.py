@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, decontaminate, secrets
+from featurepipe.llm import bpe, decontaminate, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
@@ -50,6 +50,18 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, folder, "documents"))
