@@ -94,6 +94,8 @@ def match_texts(texts: list[str], test: Windows) -> tuple[np.ndarray, dict[int,
     first = np.searchsorted(sorted_suffixes, test.low, side="left")
     after = np.searchsorted(sorted_suffixes, test.high, side="right")
     hits = after - first
+    if not hits.any():
+        return counts, {}
     which = np.repeat(np.arange(len(hits)), hits)
     within = np.arange(len(which)) - np.repeat(np.cumsum(hits) - hits, hits)
     at = starts[order[first[which] + within]]

@@ -67,12 +67,13 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, folder, "documents"))
     kinds = [rule.kind for rule in secrets.BASE_RULES]
     base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
-    counts = [
-        F.size(F.filter("secrets", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds
-    ]
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, kinds),
         F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("secrets")).alias("spans"),
     )
