@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, decontaminate, secrets, toxicity
+from featurepipe.llm import bpe, decontaminate, jaccard, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
@@ -24,6 +24,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, folder, "documents"), shingle=4, percent=85)
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
