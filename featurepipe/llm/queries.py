@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, decontaminate, jaccard, secrets, toxicity
+from featurepipe.llm import bpe, decontaminate, jaccard, secrets, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
@@ -29,6 +29,19 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(_table(spark, folder, "documents"), shingle=4, percent=85)
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+    zero = F.lit(0).cast("bigint")
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", zero, lambda total, s: total + s["end"] - s["start"]).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")

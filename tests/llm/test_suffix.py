@@ -1,0 +1,89 @@
+"""Suffix ordering and exact removal of repeated bytes, against brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from featurepipe.llm import suffix_dedup
+from featurepipe.llm.queries import QUERIES
+from featurepipe.llm.suffix_sort import order_suffixes
+
+
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abcdefgh", bytes(range(256))])
+@pytest.mark.parametrize("depth", [3, 40, 100])
+def test_order_equals_plain_sort(letters, depth):
+    chance = random.Random(depth)
+    base = bytes(chance.choice(letters) for _ in range(300))
+    raw = base + base[:250] + b"x" + base[20:] + bytes(chance.choice(letters) for _ in range(300))
+    starts = np.array([chance.randrange(len(raw) - depth) for _ in range(900)])
+    groups = np.array([chance.randrange(3) for _ in starts])
+    places = order_suffixes(np.frombuffer(raw, np.uint8), starts, groups, depth)
+    keys = [(g, raw[s : s + depth]) for g, s in zip(groups.tolist(), starts.tolist(), strict=True)]
+    ranks = {key: k for k, key in enumerate(sorted(set(keys)))}
+    dense = {p: k for k, p in enumerate(sorted(set(places.tolist())))}
+    assert [dense[p] for p in places.tolist()] == [ranks[key] for key in keys]
+
+
+def brute(rows, window):
+    seen, out = set(), []
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - window + 1):
+            own = raw[s : s + window]
+            if own in seen:
+                gone[s : s + window] = b"\1" * window
+            seen.add(own)
+        runs = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        out.append((doc, len(raw), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def made_up():
+    chance = random.Random(5)
+    words = [f"wört{k}" for k in range(300)]
+    text = lambda n: " ".join(chance.choice(words) for _ in range(n))
+    line, passage = text(20), text(60)
+    texts = ["", None, "x" * 99, "x" * 100, "x" * 101, "x" * 350, "ab" * 200, "ab" * 120, "abc" * 2000, "a" * 100]
+    for _ in range(30):
+        parts = [text(chance.randrange(1, 60)), chance.choice([line, passage, "", passage[50:220]]), text(chance.randrange(1, 30))]
+        texts.append(" ".join(parts))
+        if chance.random() < 0.3:
+            own = list(texts[-1])
+            own[chance.randrange(len(own))] = "#"
+            texts += ["".join(own), texts[-1]]
+    texts.append(text(4000) + passage + text(3000) + passage)
+    return texts
+
+
+@pytest.mark.parametrize(("heavy", "piece", "window"), [(20_000, 1 << 20, 100), (5, 700, 100), (2, 5000, 48)])
+def test_equals_brute_force(docs_of, monkeypatch, heavy, piece, window):
+    monkeypatch.setattr(suffix_dedup, "HEAVY_CHUNKS", heavy)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+    rows = list(enumerate(made_up()))
+    frame = docs_of(rows, parts=3).withColumns({"row": F.lit("clash"), "spans": F.lit(0)})
+    assert digest(suffix_dedup.remove_repeats(frame, window)) == sorted(brute(rows, window), key=str)
+    rows += [rows[20], rows[20], (None, rows[25][1]), (None, rows[25][1]), (3, rows[15][1])]
+    assert digest(suffix_dedup.remove_repeats(docs_of(rows, parts=3), window)) == sorted(brute(rows, window), key=str)
+    assert suffix_dedup.remove_repeats(frame.limit(0)).count() == 0
+
+
+def digest(frame):
+    rows = frame.select("doc_id", "n_bytes", "removed", F.sha2("kept", 256).alias("kept")).collect()
+    spans = [[(s["start"], s["end"]) for s in r["removed"]] for r in rows]
+    assert all(a[1] < b[0] for own in spans for a, b in zip(own, own[1:], strict=False))
+    return sorted(
+        ((r["doc_id"], r["n_bytes"], sum(e - s for s, e in own), len(own), r["kept"]) for r, own in zip(rows, spans, strict=True)),
+        key=str,
+    )
+
+
+def test_query(spark, sf):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    frame = QUERIES["op2_suffix_dedup"](spark, sf).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = sorted((tuple(r) for r in frame.collect()), key=str)
+    assert got == sorted(brute(docs, 100), key=str) and sum(r[2] for r in got) > 0
