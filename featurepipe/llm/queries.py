@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, decontaminate, jaccard, secrets, suffix_dedup, toxicity
+from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, secrets, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
@@ -54,6 +55,39 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    held: list[fingerprints.Sketcher] = []
+    known: dict[str, object] = {}
+
+    def compared(doc: int, text: str, following: str) -> dict:
+        own = held[0] if held else fingerprints.Sketcher()
+        held[:] = [own]
+        edited = fingerprints.edited(text, following)
+        # The next row of a stream needs what this one computes for its neighbour.
+        sketch = known.pop(text, None)
+        sketch = own.of(text) if sketch is None else sketch
+        known.clear()
+        known[following] = own.of(following)
+        of_edited = own.of(edited)
+        return {
+            "doc_id": doc,
+            "n_chars": len(text),
+            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
+            "fingerprint": fingerprints.packed(sketch),
+            "edited_fingerprint": fingerprints.packed(of_edited),
+            "near_edited": fingerprints.resemblance(sketch, of_edited),
+            "near_next": fingerprints.resemblance(sketch, known[following]),
+        }
+
+    return fingerprints.with_next(
+        _table(spark, folder, "documents"),
+        compared,
+        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double",
+    )
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -80,6 +114,30 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = chat.END + chat.BEGIN + "assistant ok"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.digests(chat.format_conversations(turns))
+
+
+@query
+def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = kd_shards.kd_shards(_table(spark, folder, "documents"), shards=16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, folder, "documents"))

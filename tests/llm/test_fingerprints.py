@@ -1,0 +1,87 @@
+"""Sketches against exact set measures, and the walk over neighbours against a plain loop."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from featurepipe.llm import fingerprints as fp
+from featurepipe.llm.queries import QUERIES
+
+
+def shingles(text, size=5):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode().split()
+    size = min(size, len(words))
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if size else set()
+
+
+def test_estimates():
+    chance, own = random.Random(2), fp.Sketcher()
+    words = [f"w{k}" for k in range(5000)]
+    base = [chance.choice(words) for _ in range(3000)]
+    for share in (0.0, 0.3, 0.7, 1.0):
+        keep = int(len(base) * share)
+        one, other = " ".join(base), " ".join(base[:keep] + [chance.choice(words) for _ in range(3000 - keep)])
+        a, b = shingles(one), shingles(other)
+        sa, sb = own.of(one), own.of(other)
+        assert fp.resemblance(sa, sb) == pytest.approx(len(a & b) / len(a | b), abs=0.12)
+        assert fp.containment(sa, sb) == pytest.approx(len(a & b) / len(a), abs=0.2)
+        assert fp.distinct(sa) == pytest.approx(len(a), rel=0.25)
+
+
+def test_merging_and_small_texts():
+    own = fp.Sketcher()
+    text = " ".join(f"w{k}" for k in range(900))
+    words = text.split()
+    parts = [" ".join(words[k : k + 104]) for k in range(0, 900, 100)]
+    assert np.array_equal(fp.merge([own.of(p) for p in parts]), own.of(text))
+    repeated = "a b c d e f " * 40000
+    assert np.array_equal(own.of(repeated), fp.merge([own.of("a b c d e f a b c d e f")]))
+    assert fp.resemblance(own.of(""), own.of(" ")) == 1 and fp.resemblance(own.of(""), own.of("x")) == 0
+    assert fp.resemblance(own.of("one two"), own.of("ONE\ttwo")) == 1
+    assert np.array_equal(fp.unpacked(fp.packed(own.of(text))), own.of(text))
+
+
+def test_merged_by_key(spark):
+    rows = [(k % 3, f"w{k} w{k + 1} w{k + 2} w{k + 3} w{k + 4}") for k in range(600)] + [(None, "x"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = fp.merged_fingerprints(fp.fingerprints(frame), "doc_id").collect()
+    own = fp.Sketcher()
+    for row in got:
+        mine = [t or "" for k, t in rows if (None if k is None else str(k)) == row["key"]]
+        assert row["fingerprint"] == fp.packed(fp.merge([own.of(t) for t in mine]))
+    assert len(got) == 4
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_with_next(spark, parts):
+    rows = [(k, f"text {k} " * (k % 7)) for k in range(0, 300, 3)] + [(9, "text 9"), (9, "text 9"), (None, "null id"), (30, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts).withColumn("bucket", F.lit("x"))
+    walk = fp.with_next(frame, lambda d, t, n: {"doc_id": d, "a": t, "b": n}, "doc_id bigint, a string, b string")
+    ordered = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    wanted = [(d, t, ordered[(k + 1) % len(ordered)][1]) for k, (d, t) in enumerate(ordered)]
+    assert sorted(map(tuple, walk.collect()), key=str) == sorted(wanted, key=str)
+    one = frame.where("doc_id = 12")
+    assert [tuple(r) for r in fp.with_next(one, lambda d, t, n: {"d": d, "same": t == n}, "d bigint, same boolean").collect()] == [(12, True)]
+    assert fp.with_next(frame.limit(0), lambda d, t, n: {"d": d}, "d bigint").count() == 0
+
+
+def test_query(spark, sf):
+    docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    rows = {r["doc_id"]: r for r in QUERIES["op4_fingerprints"](spark, sf).collect()}
+    assert len(rows) == len(docs)
+    own, by_text, off = fp.Sketcher(), {}, []
+    for k, (doc, text) in enumerate(docs):
+        following = docs[(k + 1) % len(docs)][1]
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + following[:quarter]
+        row = rows[doc]
+        assert row["n_chars"] == len(text) and row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert row["fingerprint"] == fp.packed(own.of(text)) == by_text.setdefault(text, row["fingerprint"])
+        assert row["edited_fingerprint"] == fp.packed(own.of(edited))
+        for name, other in (("near_edited", edited), ("near_next", following)):
+            a, b = shingles(text), shingles(other)
+            off.append(abs(row[name] - len(a & b) / max(1, len(a | b))))
+    assert np.mean(off) < 0.03 and max(off) < 0.2
