@@ -1,6 +1,61 @@
-"""The stages of the corpus pipeline (in the making)."""
+"""The corpus pipeline: five stages, each of which works on what the one before has kept.
+
+Each stage is written as Parquet under the shared folder and read again. ``run`` gives the rows of the last stage.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from featurepipe.llm import bpe, decontaminate, jaccard, secrets, toxicity
+from featurepipe.sources.staging import materialize
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that the classifier, learnt from the labelled rows among them, calls toxic."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, that of the smallest id, of each group linked by five-word shingles at 0.8."""
+    return jaccard.drop_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents in which a window of a benchmark item occurs."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep all documents; every secret is replaced by its kind, and ``n_chars`` is counted anew."""
+    from pyspark.sql import functions as F
+
+    masked = secrets.mask_secrets(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every remaining document."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.id_arrays(bpe.encode(docs, path, public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("byte_bpe", tokenize),
+]
+
+# Learning a classifier and grouping near copies cannot be expressed in SQL; a test compares with plain Python instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

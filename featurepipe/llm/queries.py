@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, secrets, suffix_dedup, toxicity
+from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, passages, secrets, suffix_dedup, toxicity
+from featurepipe.sources.staging import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
@@ -114,6 +115,12 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_shared_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.shared_passages(_table(spark, folder, "documents"))
+    return passages.passage_classes(materialize(found, "passages"))
+
+
 @query
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = chat.END + chat.BEGIN + "assistant ok"
