@@ -6,61 +6,67 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-# For each open ``temporary_tables`` block, the tables written inside it.
-_OPEN_BLOCKS: list[list[str]] = []
+# The tables of the open ``temporary_tables`` blocks of this thread or task, innermost last.
+_OPEN_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("open_blocks", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it.
 
-    Where it is unset a local session gets a folder of its own; a cluster must set it.
+    A cluster must set it. A single-process session that has none, as in tests, is given one here.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="featurepipe-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    folder = tempfile.mkdtemp(prefix="featurepipe-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def staging_uri(spark: SparkSession, name: str) -> str:
-    """A fresh place under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/featurepipe/{name}-{uuid.uuid4().hex}"
+    """A fresh place under the shared folder; all places of one application have one parent."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/featurepipe/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame as a Parquet table in the shared folder and read it back.
 
     Unlike a row checkpoint the table stays columnar, so later passes read only the columns they need.
+    The innermost open block of this thread owns the table; without one it belongs to the caller.
     """
     spark = frame.sparkSession
     uri = staging_uri(spark, name)
-    for block in _OPEN_BLOCKS:
-        block.append(uri)
+    if blocks := _OPEN_BLOCKS.get():
+        blocks[-1].append(uri)
     frame.write.parquet(uri)
     return spark.read.schema(frame.schema).parquet(uri)
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that ``materialize`` writes inside the block when it ends.
 
-    Frames built on them cannot be read afterwards, so write the results before leaving.
+    Frames built on them cannot be read afterwards, so write the results before leaving. Blocks of other
+    threads have their own lists.
     """
     written: list[str] = []
-    _OPEN_BLOCKS.append(written)
+    token = _OPEN_BLOCKS.set((*_OPEN_BLOCKS.get(), written))
     try:
         yield
     finally:
-        _OPEN_BLOCKS[:] = [block for block in _OPEN_BLOCKS if block is not written]
+        _OPEN_BLOCKS.reset(token)
         for uri in written:
-            path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(spark, uri)

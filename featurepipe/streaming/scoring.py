@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from featurepipe.operators.features import FittedGenerators
 from featurepipe.operators.lag import LagFeatures
 from featurepipe.operators.model import ScoringModel
-from featurepipe.sources.staging import staging_uri
 
 
 def score_stream(stream: DataFrame, generators: FittedGenerators, model: ScoringModel) -> DataFrame:
@@ -27,13 +26,12 @@ def start_scoring(
     generators: FittedGenerators,
     model: ScoringModel,
     output_uri: str,
-    checkpoint_uri: str | None = None,
+    checkpoint_uri: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append scored records to a Parquet table. The checkpoint lets a restarted query continue exactly once."""
+    """Append scored records to a Parquet table. A query restarted with the same checkpoint continues exactly once."""
     scored = score_stream(stream, generators, model)
-    checkpoint = checkpoint_uri or staging_uri(stream.sparkSession, "scoring-checkpoint")
-    writer = scored.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = scored.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint_uri)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start(output_uri)

@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("featurepipe-tests")
@@ -21,6 +21,7 @@ def spark():
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

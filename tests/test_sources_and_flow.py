@@ -1,5 +1,6 @@
 import datetime
 import random
+import threading
 from pathlib import Path
 
 import pytest
@@ -144,6 +145,26 @@ def test_temporary_tables(spark):
     assert exists(kept) and not exists(outer)
 
 
+def test_blocks_of_two_threads_keep_apart(spark):
+    opened, ended, seen = threading.Event(), threading.Event(), []
+
+    def other():
+        with staging.temporary_tables(spark):
+            frame = staging.materialize(spark.range(5), "other")
+            opened.set()
+            ended.wait(60)
+            seen.append(frame.count())
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with staging.temporary_tables(spark):
+        opened.wait(60)
+        staging.materialize(spark.range(3), "own")
+    ended.set()
+    thread.join(60)
+    assert seen == [5]
+
+
 @pytest.fixture(scope="module")
 def source(spark, tmp_path_factory):
     r = random.Random(11)
