@@ -17,9 +17,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Rows one bucket should hold, and the most buckets a key range is cut into.
+# Rows one bucket should hold; callers pass another number where rows are wide or tasks are small.
 BUCKET_ROWS = 200_000
-MAX_BUCKETS = 4_000
+
+# Most buckets of one number column: what a driver and a sketch hold easily.
+MOST_BUCKETS = 100_000
 
 # Up to this many split points are compared one by one.
 PLAIN_COMPARISONS = 64
@@ -33,17 +35,48 @@ def small_table(spark: SparkSession, columns: dict[str, list], schema: str) -> D
     return spark.createDataFrame(pa.table(columns), schema=schema)
 
 
-def bucket_count(rows: int) -> int:
-    return max(1, min(math.ceil(rows / BUCKET_ROWS), MAX_BUCKETS))
+def bucket_count(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    return max(1, math.ceil(rows / bucket_rows))
+
+
+def counts_and_points(frame: DataFrame, columns: list[str], side: str, bucket_rows: int) -> dict[str, tuple]:
+    """For each number column the values with ``side`` 0, those with 1, and split points.
+
+    One aggregate counts all columns, and where some need more than one bucket another sketches their quantiles;
+    both reduce to one row inside the tasks.
+    """
+    measures = []
+    for i, c in enumerate(columns):
+        value = F.col(c)
+        measures += [
+            F.count_if(value.isNotNull() & (F.col(side).cast("int") == 0)).alias(f"a{i}"),
+            F.count_if(value.isNotNull() & (F.col(side).cast("int") == 1)).alias(f"b{i}"),
+        ]
+    counted = frame.agg(*measures).first()
+    found = {c: (counted[f"a{i}"], counted[f"b{i}"]) for i, c in enumerate(columns)}
+    cut = {c: bucket_count(a + b, bucket_rows) for c, (a, b) in found.items()}
+    cut = {c: min(n, MOST_BUCKETS) for c, n in cut.items() if n > 1}
+    points: dict[str, list] = {c: [] for c in columns}
+    if cut:
+        sketches = [
+            F.percentile_approx(F.when(~F.isnan(F.col(c)), F.col(c)), [k / n for k in range(1, n)], 4 * n).alias(c)
+            for c, n in cut.items()
+        ]
+        row = frame.agg(*sketches).first()
+        points |= {c: sorted(set(row[c] or [])) for c in cut}
+    return {c: (*found[c], points[c]) for c in columns}
 
 
 def split_points(frame: DataFrame, keys: dict[str, Column], rows: int, buckets: int) -> dict[str, list]:
-    """For each key about ``buckets - 1`` distinct values that cut the frame evenly, from a sample of bounded size."""
+    """For each key about ``buckets - 1`` distinct values that cut the frame evenly, from a sample of that size.
+
+    Only how even the buckets are depends on the sample, never a result.
+    """
     if buckets <= 1:
         return {name: [] for name in keys}
     wanted = SAMPLES_PER_BUCKET * buckets
     sample = frame.select(*[key.alias(name) for name, key in keys.items()])
-    sample = sample.sample(min(1.0, wanted / rows), seed=17).limit(2 * wanted)
+    sample = sample.sample(min(1.0, wanted / rows), seed=17)
     ordered = sample.agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in keys])
     chosen = ordered.select(*[evenly(F.col(name), F.lit(buckets)).alias(name) for name in keys]).first()
     return {name: list(chosen[name]) for name in keys}
@@ -119,11 +152,13 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
-def with_global_rank(frame: DataFrame, order: dict[str, Column], rank: str, rows: int) -> DataFrame:
+def with_global_rank(
+    frame: DataFrame, order: dict[str, Column], rank: str, rows: int, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """Add the 0-based position of each row in the order of the given unique key."""
     key = F.struct(*[c.alias(n) for n, c in order.items()])
     spark_type = frame.select(key.alias("key")).schema["key"].dataType.simpleString()
-    points = split_points(frame, {"key": key}, rows, bucket_count(rows))["key"]
+    points = split_points(frame, {"key": key}, rows, bucket_count(rows, bucket_rows))["key"]
     bucket, start = "__bucket", "__start"
     bucketed = frame.withColumn(bucket, bucket_among(key, points, spark_type))
     sizes = dict(bucketed.groupBy(bucket).count().collect())

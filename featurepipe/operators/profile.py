@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurepipe.functions.numeric import as_double
+from featurepipe.operators.ordered import with_number_buckets
 
 # Default rank error of quantiles, as a share of the rows.
-RELATIVE_ERROR = 0.01
+RELATIVE_ERROR = 0.001
 
-# Quantiles: cells a value range is cut into per pass, and the row count below which values are listed.
-CELLS = 1024
+# Exact quantiles: sketched points that cut a value range into cells, and the rows below which a cell's values are
+# listed one by one. Neither influences a result.
+CELLS = 200
 LISTED_ROWS = 20_000
 
 # Columns handled in one job: small enough that the aggregate compiles to one method, where a very wide
@@ -114,9 +116,13 @@ def numeric_stats(
     """Count, mean, both standard deviations, extremes and quantiles.
 
     Quantiles and extremes skip NULL and NaN; the moments skip only NULL unless ``nan_as_null``.
-    Quantiles are off by at most RELATIVE_ERROR of the ranks, or not at all if ``exact``.
-    ``median`` adds the interpolated median, with the same error, from the same passes.
+    Quantiles are off by at most RELATIVE_ERROR of the ranks, at every size, and are sketched in the pass of the
+    moments; with ``exact`` they are not off at all, and the sketch only tells the passes after it where to look.
+    ``median`` adds the median: interpolated if ``exact``, else a sketched quantile.
     """
+    asked = [*(probabilities or []), *([0.5] if median else [])]
+    steps = [k / CELLS for k in range(CELLS + 1)] if exact else asked
+    edges: dict[str, list[float]] = {}
     result = {}
     for group in batches(columns):
         measures = [F.count(F.lit(1)).alias("rows")]
@@ -130,16 +136,24 @@ def numeric_stats(
                 F.min(number).alias(f"min{i}"),
                 F.max(number).alias(f"max{i}"),
             ]
+            if asked:
+                measures.append(F.percentile_approx(number, steps, round(1 / RELATIVE_ERROR)).alias(f"sketch{i}"))
         row = frame.agg(*measures).first()
         for i, c in enumerate(group):
             names = ("n", "mean", "std", "numbers", "min", "max")
             result[c] = NumericStats(row["rows"], *[row[f"{name}{i}"] for name in names])
-    if probabilities or median:
+            if asked and row[f"sketch{i}"] is not None:
+                edges[c] = list(row[f"sketch{i}"])
+    if not asked:
+        return result
+    found: dict[str, list[float] | None] = dict(edges)
+    if exact:
         wanted = [(p, False) for p in probabilities or []] + ([(0.5, True)] if median else [])
-        for c, values in _find_quantiles(frame, columns, wanted, 0.0 if exact else RELATIVE_ERROR, result).items():
-            if values:
-                result[c].median = values.pop() if median else None
-                result[c].quantiles = values
+        found = _find_quantiles(frame, columns, wanted, result, edges)
+    for c, values in found.items():
+        if values:
+            result[c].median = values.pop() if median else None
+            result[c].quantiles = values
     return result
 
 
@@ -157,52 +171,47 @@ class _Search:
     below: int
     inside: int
     edges: tuple[float, ...] = ()
-    uneven: bool = False
     answer: float | None = None
 
     @property
     def range(self) -> tuple:
         return self.column, self.low, self.high, self.edges
 
-    def enter(self, cell_rows: int, skipped: int, low: float, high: float, tolerance: float) -> None:
-        self.uneven = cell_rows > self.inside / 4
+    def enter(self, cell_rows: int, skipped: int, low: float, high: float) -> None:
         self.below += skipped
         self.inside, self.low, self.high, self.edges = cell_rows, low, high, ()
-        if low == high or cell_rows <= tolerance:
-            self.answer = high if self.rank - self.below > cell_rows / 2 else low
+        self.answer = low if low == high else None
 
 
 def quantiles(
     frame: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    relative_error: float = 0.0,
     interpolate: bool = False,
     known: dict[str, NumericStats] | None = None,
 ) -> dict[str, list[float] | None]:
-    """Quantiles of numeric columns; NULL and NaN are skipped, a column without values gives None.
+    """Exact quantiles of numeric columns; NULL and NaN are skipped, a column without values gives None.
 
     ``interpolate=False`` gives the smallest value whose cumulative share reaches the
     probability; ``True`` interpolates between the two neighbouring values.
 
     Spark's exact percentile keeps every distinct value of a column in one buffer. Here each
-    pass counts the rows per cell of a value range and moves on to the one cell that holds
-    the wanted rank, until that cell has one value or few enough rows to list, or no more
-    rows than the error allows. A pass is a grouped count that each task reduces to a few
-    thousand rows: the data is not shuffled.
+    pass counts the rows between sketched points of a value range and moves on to the one cell that
+    holds the wanted rank, until that cell has one value or few enough rows to list. A pass is a
+    grouped count that each task reduces to a few thousand rows: the data is not shuffled.
     """
     known = known or numeric_stats(frame, columns)
-    return _find_quantiles(frame, columns, [(p, interpolate) for p in probabilities], relative_error, known)
+    return _find_quantiles(frame, columns, [(p, interpolate) for p in probabilities], known, {})
 
 
 def _find_quantiles(
     frame: DataFrame,
     columns: list[str],
     points: list[tuple[float, bool]],
-    relative_error: float,
     known: dict[str, NumericStats],
+    edges: dict[str, list[float]],
 ) -> dict[str, list[float] | None]:
-    """Quantiles for (probability, interpolate) pairs, given the counts and extremes of the columns."""
+    """Quantiles for (probability, interpolate) pairs, given the counts, extremes and perhaps sketched points of the columns."""
     wanted: dict[str, list[tuple[int, int, float]]] = {}
     searches: dict[tuple[str, int], _Search] = {}
     for c in columns:
@@ -212,11 +221,12 @@ def _find_quantiles(
         wanted[c] = [_ranks(n, p, interpolate) for p, interpolate in points]
         for rank in {r for low, high, _ in wanted[c] for r in (low, high)}:
             search = searches[c, rank] = _Search(c, rank, known[c].least, known[c].greatest, 0, n)
+            search.edges = _around(edges.get(c, []))
             search.answer = search.low if search.low == search.high else None
     while pending := [s for s in searches.values() if s.answer is None]:
-        _sketch_edges(frame, [s for s in pending if s.uneven and s.inside > LISTED_ROWS])
+        _sketch_edges(frame, [s for s in pending if not s.edges and s.inside > LISTED_ROWS])
         for group in batches(_by_range(pending), 16):
-            _count_cells(frame, group, {c: relative_error * known[c].numbers for c in columns})
+            _count_cells(frame, group)
     result: dict[str, list[float] | None] = {c: None for c in columns}
     for c, entries in wanted.items():
         pairs = [(searches[c, low].answer, searches[c, high].answer, weight) for low, high, weight in entries]
@@ -224,6 +234,11 @@ def _find_quantiles(
     return result
 
 
+def _around(points: list[float]) -> tuple[float, ...]:
+    """Each point also starts a cell of its own, so a value that most rows share gets isolated."""
+    return tuple(sorted({*points, *(math.nextafter(p, math.inf) for p in points)}))
+
+
 def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     """1-based ranks around a probability and the weight of the upper one."""
     if not interpolate:
@@ -243,11 +258,8 @@ def _by_range(searches: list[_Search]) -> list[list[_Search]]:
 
 
 def _sketch_edges(frame: DataFrame, searches: list[_Search]) -> None:
-    """Cells of equal width did not split these ranges: cut them at sketched quantiles instead.
-
-    Each point also starts a cell of its own, so a value that most rows share gets isolated.
-    """
-    steps = [i / 200 for i in range(201)]
+    """Cut the ranges at their sketched quantiles."""
+    steps = [k / CELLS for k in range(CELLS + 1)]
     for group in batches(_by_range(searches), 16):
         measures = []
         for i, (s, *_) in enumerate(group):
@@ -255,31 +267,31 @@ def _sketch_edges(frame: DataFrame, searches: list[_Search]) -> None:
             measures.append(F.percentile_approx(F.when(value.between(s.low, s.high), value), steps, 10_000).alias(f"q{i}"))
         row = frame.agg(*measures).first()
         for i, same in enumerate(group):
-            points = set(row[f"q{i}"])
-            edges = tuple(sorted(points | {math.nextafter(p, math.inf) for p in points}))
             for s in same:
-                s.edges = edges
+                s.edges = _around(row[f"q{i}"])
 
 
-def _count_cells(frame: DataFrame, group: list[list[_Search]], tolerance: dict[str, float]) -> None:
+def _count_cells(frame: DataFrame, group: list[list[_Search]]) -> None:
     """Count rows per cell of each range and let every search enter the cell with its rank."""
-    entries, wanted = [], []
+    values, wanted, edges = [], [], {}
     for i, (s, *_) in enumerate(group):
-        value = as_double(s.column, True)
         # A plain comparison (NaN is above any number), so that it can be pushed into the scan.
         wanted.append(as_double(s.column).between(s.low, s.high))
-        if s.inside <= LISTED_ROWS:
-            cell = value
-        elif s.edges:
-            cell = F.size(F.filter(F.array(*[F.lit(e) for e in s.edges]), lambda e: e <= value)).cast("double")
-        else:
-            cell = F.floor((value - F.lit(s.low)) * F.lit(CELLS / (s.high - s.low))).cast("double")
-        covered = F.when(wanted[i], value)
-        entries.append(F.struct(F.lit(i).alias("range"), cell.alias("cell"), covered.alias("value")))
+        values.append(F.when(wanted[i], as_double(s.column, True)).alias(f"value{i}"))
+        if s.edges and s.inside > LISTED_ROWS:
+            edges[f"value{i}"] = list(s.edges)
+    # Rows outside all ranges are skipped at once; late passes look at few rows.
+    rows = frame.where(reduce(or_, wanted)).select(*values)
+    names = {name: f"{name}__cell" for name in edges}
+    # Points are looked up by compiled binary search; few enough values are cells of their own.
+    rows = with_number_buckets(rows, names, edges) if names else rows
+    entries = []
+    for i in range(len(group)):
+        name = f"value{i}"
+        cell = F.col(names[name]).cast("double") if name in names else F.col(name)
+        entries.append(F.struct(F.lit(i).alias("range"), cell.alias("cell"), F.col(name).alias("value")))
     cells = (
-        # Rows outside all ranges are skipped at once; late passes look at few rows.
-        frame.where(reduce(or_, wanted))
-        .select(F.inline(F.array(*entries)))
+        rows.select(F.inline(F.array(*entries)))
         .where(F.col("value").isNotNull())
         .groupBy("range", "cell")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
@@ -293,7 +305,7 @@ def _count_cells(frame: DataFrame, group: list[list[_Search]], tolerance: dict[s
             skipped = 0
             for row in by_range[i]:
                 if s.rank <= s.below + skipped + row["rows"]:
-                    s.enter(row["rows"], skipped, row["low"], row["high"], tolerance[s.column])
+                    s.enter(row["rows"], skipped, row["low"], row["high"])
                     break
                 skipped += row["rows"]
 

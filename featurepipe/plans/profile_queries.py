@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featurepipe.operators import classify, drift, profile, quality
 from featurepipe.plans.clean_queries import EVENTS_WITH_NULLS, events_with_nulls
-from featurepipe.plans.registry import query, rounded, table
+from featurepipe.plans.registry import ORACLES, query, rounded, table
 
 PRICES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -236,3 +236,12 @@ def ks_drift(spark, folder):
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
     tested = drift.ks_drift(events.where(late), events.where(~late), ["value", "user_id"], 0.05, "asymptotic")
     return tested.withColumns({c: F.round(c, 9) for c in ("ks_statistic", "p_value")})
+
+
+@query(ORACLES["ks_drift"])
+def ks_drift_bucketed(spark, folder):
+    """The same test over many ordered buckets of values."""
+    events = table(spark, folder, "events")
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    tested = drift.ks_drift(events.where(late), events.where(~late), ["value", "user_id"], bucket_rows=500)
+    return tested.withColumns({c: F.round(c, 9) for c in ("ks_statistic", "p_value")})

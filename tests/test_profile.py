@@ -46,7 +46,9 @@ def test_approximate_quantiles_keep_the_error(spark, tiny_cells, shape):
     values = [SHAPES[shape](r, i) for i in range(2_000)]
     frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     ordered = sorted(values)
-    for p, v in zip([0.01, 0.5, 0.99], profile.quantiles(frame, ["x"], [0.01, 0.5, 0.99], 0.01)["x"]):
+    stats = profile.numeric_stats(frame, ["x"], [0.01, 0.5, 0.99], median=True)["x"]
+    assert stats.median == stats.quantiles[1]
+    for p, v in zip([0.01, 0.5, 0.99], stats.quantiles):
         rank = p * len(ordered)
         least = sum(o < v for o in ordered) + 1
         most = sum(o <= v for o in ordered)
