@@ -11,7 +11,16 @@ from pyspark.sql import types as T
 
 from featurepipe.functions.names import unique_names
 from featurepipe.operators.profile import null_counts
-from featurepipe.sources.staging import materialize
+from featurepipe.sources.staging import materialize, temporary_tables
+
+
+def orderable(kind: T.DataType) -> bool:
+    """Whether Spark can compare values of a type: not where a map or variant is anywhere inside."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def rename_columns(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -66,9 +75,7 @@ def drop_duplicates_by_key(
     the shuffle, so a key with a large share of the rows sends one row per task.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by or []]
-    tiebreak = [
-        F.col(f.name) for f in frame.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)
-    ]
+    tiebreak = [F.col(f.name) for f in frame.schema.fields if f.name not in keys and orderable(f.dataType)]
     window = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
     rank = "__row_number"
     return frame.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)
@@ -133,11 +140,11 @@ class CleanReport:
     dropped: list[dict]
 
 
-def clean(frame: DataFrame, config: CleanConfig | None = None) -> tuple[DataFrame, CleanReport]:
+def clean(frame: DataFrame, config: CleanConfig | None = None, uri: str | None = None) -> tuple[DataFrame, CleanReport]:
     """Rename, trim, drop incomplete rows, drop repeats, then drop columns that are nearly all NULL.
 
-    The null shares are measured after the repeats are gone. That step shuffles the
-    whole table, so its result is staged once and both the count and the output read it.
+    The table is written once, to ``uri`` or a staging table, and its null shares are counted on that, after the repeats
+    are gone. Only if a column must go from a table at ``uri`` is it written again.
     """
     config = config or CleanConfig()
     frame, renamed = rename_columns(frame)
@@ -147,6 +154,16 @@ def clean(frame: DataFrame, config: CleanConfig | None = None) -> tuple[DataFram
             frame = drop_duplicates_by_key(frame, config.dedupe_keys, config.dedupe_order)
         else:
             frame = drop_duplicate_rows(frame)
-        frame = materialize(frame, "deduplicated")
+    spark = frame.sparkSession
+    if uri:
+        frame.write.mode("overwrite").parquet(uri)
+        frame = spark.read.schema(frame.schema).parquet(uri)
+    else:
+        frame = materialize(frame, "clean")
     dropped = high_null_columns(frame, config.max_null_ratio)
-    return drop_columns(frame, dropped), CleanReport(renamed, dropped)
+    result = drop_columns(frame, dropped)
+    if dropped and uri:
+        with temporary_tables(spark):
+            materialize(result, "narrowed").write.mode("overwrite").parquet(uri)
+        result = spark.read.schema(result.schema).parquet(uri)
+    return result, CleanReport(renamed, dropped)

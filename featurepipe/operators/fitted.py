@@ -20,6 +20,7 @@ class FeatureRule:
     source: tuple[str, ...]
     features: tuple[str, ...]
     rule: str
+    details: dict | None = None
 
 
 class FittedFeatures(Protocol):
