@@ -155,6 +155,27 @@ def bernoulli_sample(spark, folder):
     return etl.bernoulli_sample(table(spark, folder, "orders"), 0.25, seed=42)
 
 
+@query(
+    """
+SELECT true AS only_given_rows, true AS no_repeats, true AS about_a_quarter, count(*) AS row_count FROM orders"""
+)
+def bernoulli_sample_laws(spark, folder):
+    """What holds for every such sample: rows of the table, none twice, and a share within six standard deviations."""
+    orders = table(spark, folder, "orders")
+    sample = etl.bernoulli_sample(orders, 0.25, seed=42)
+    drawn = sample.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    counted = orders.join(drawn, "o_orderkey", "left").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("times").alias("found"), F.max("times").alias("most")
+    )
+    drawn_rows = sample.count()
+    return counted.withColumn("drawn", F.lit(drawn_rows)).select(
+        (F.col("found") == F.col("drawn")).alias("only_given_rows"),
+        (F.col("most") == 1).alias("no_repeats"),
+        (F.abs(F.col("drawn") - 0.25 * F.col("row_count")) <= 6 * F.sqrt(0.1875 * F.col("row_count"))).alias("about_a_quarter"),
+        "row_count",
+    )
+
+
 @query(
     f"""
 WITH e AS ({EVENTS_WITH_NULLS})

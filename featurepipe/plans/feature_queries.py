@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from featurepipe.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from featurepipe.operators import categorical, dates, lag, numeric, select, text
 from featurepipe.plans.profile_queries import PRICES
-from featurepipe.plans.registry import query, rounded, table
+from featurepipe.plans.registry import ORACLES, query, rounded, table
 
 # --- numeric -----------------------------------------------------------------------------------------------------
 
@@ -170,6 +170,14 @@ def many_categories(spark, folder):
     return categorical.fit_categories(frame, ["l_partkey"]).transform(frame)
 
 
+@query(ORACLES["many_categories"])
+def many_categories_shuffled(spark, folder):
+    """The same with a limit so low that the lookup is a shuffle and the ranks come from ordered buckets."""
+    frame = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    fitted = categorical.fit_categories(frame, ["l_partkey"], broadcast_categories=100, bucket_rows=300)
+    return fitted.transform(frame)
+
+
 @query(
     """
 SELECT l_orderkey, l_linenumber,
@@ -337,6 +345,19 @@ def lag_whole_table(spark, folder):
     )
 
 
+@query(ORACLES["lag_whole_table"])
+def lag_in_pieces(spark, folder):
+    """The same series, cut into pieces of a few hundred rows."""
+    frame = table(spark, folder, "events").select("event_id", "ts", "value")
+    fitted = lag.fit_lags(["value"], "ts", None, ["event_id"], series_rows=400)
+    return fitted.transform(frame).select(
+        "event_id",
+        "value__lag_1",
+        "value__lag_3",
+        F.round("value__rolling_mean_3", 6).alias("value__rolling_mean_3"),
+    )
+
+
 # --- selection ---------------------------------------------------------------------------------------------------
 
 

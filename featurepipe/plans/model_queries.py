@@ -7,13 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.operators import etl, gates, model, model_metrics
+from featurepipe.operators import etl, gates, model, model_metrics, quality
 from featurepipe.operators.features import FeatureConfig, engineer_features
 from featurepipe.plans.flow import FlowConfig, run_flow
-from featurepipe.plans.registry import query, rounded, table
-from featurepipe.sources.readers import PullRequest
+from featurepipe.plans.registry import ORACLES, query, rounded, table
+from featurepipe.sources.readers import PullRequest, read_report
 from featurepipe.sources.staging import staging_uri
-from featurepipe.sources.writers import RunMetrics
+from featurepipe.sources.writers import RunMetrics, write_report
 
 # A linear model with given coefficients.
 WEIGHTS = {"l_quantity": 0.02, "l_discount": -4.0, "l_tax": 3.0}
@@ -120,6 +120,15 @@ def price_auc(spark, folder):
     return model_metrics.roc_auc(scored).withColumn("auc", F.round("auc", 6))
 
 
+@query(ORACLES["price_auc"])
+def price_auc_bucketed(spark, folder):
+    """The same over many ordered buckets of scores."""
+    scored = table(spark, folder, "lineitem").select(
+        F.col("l_extendedprice").alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("label")
+    )
+    return model_metrics.roc_auc(scored, bucket_rows=2_000).withColumn("auc", F.round("auc", 6))
+
+
 _ALL_AUC = _auc_sql(f"SELECT 'all' AS g, score AS s, label AS y FROM ({_LENGTHS_SQL})")
 _LANG_AUC = _auc_sql(f"SELECT lang AS g, score AS s, label AS y FROM ({_LENGTHS_SQL})")
 
@@ -139,6 +148,50 @@ def gate_report(spark, folder):
     return report.withColumn("observed", F.round("observed", 6))
 
 
+@query(
+    f"""
+WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, {rounded("(a * l_quantity + b) / 1000")} AS score FROM lineitem, m"""
+)
+def train_linear(spark, folder):
+    """Train on all lines, store, load again and score all lines with the loaded model; in thousands."""
+    frame = table(spark, folder, "lineitem")
+    config = model.TrainConfig(task="regression", algorithm="linear_regression", params={"solver": "normal"})
+    uri = staging_uri(spark, "model")
+    model.train(frame, ["l_quantity"], "l_extendedprice", config).save(uri)
+    scored = model.load_model(spark, uri).score(frame)
+    return scored.select("l_orderkey", "l_linenumber", F.round(F.col("score") / 1000, 6).alias("score"))
+
+
+_RETURNED_AUC = _auc_sql("SELECT 'all' AS g, l_extendedprice AS s, CAST(l_returnflag = 'R' AS INT) AS y FROM lineitem")
+
+
+@query(
+    f"""
+WITH a AS ({_RETURNED_AUC}), s AS (SELECT count(DISTINCT l_returnflag) AS n FROM lineitem)
+SELECT 'selected_features' AS "check", '*' AS "column", CAST(n AS DOUBLE) AS observed, CAST(2 AS DOUBLE) AS threshold,
+       n >= 2 AS passed, 'error' AS severity FROM s
+UNION ALL SELECT 'report_status', 'lines', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), true, 'error'
+UNION ALL SELECT 'report_status', 'empty', CAST(0 AS DOUBLE), CAST(1 AS DOUBLE), false, 'error'
+UNION ALL SELECT 'champion_auc', '*', round(auc, 6), round(auc - 0.01, 6), true, 'error' FROM a"""
+)
+def stored_gates(spark, folder):
+    """Gates on a selection, on stored reports and on the metrics of the model in use, all taken from the line items."""
+    lines = table(spark, folder, "lineitem")
+    flags = [r["label"] for r in quality.label_distribution(lines, "l_returnflag").collect()]
+    rows = [gates.selection_gate(flags, 2)]
+    for name, frame in (("lines", lines), ("empty", lines.where(F.lit(False)))):
+        uri = staging_uri(spark, "report")
+        passed = quality.run_checks(frame, [quality.MinimumRows(threshold=1)]).first()["passed"]
+        write_report(spark, uri, {"status": "passed" if passed else "failed"})
+        rows.append(gates.report_gate(name, read_report(spark, uri).first().asDict()))
+    scored = lines.select(F.col("l_extendedprice").alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    auc = model_metrics.overall_auc(scored)
+    rows.append(gates.champion_gate(auc, model.champion_auc(metrics={"candidate_auc": auc})))
+    report = gates.gate_rows(spark, rows)
+    return report.withColumns({c: F.round(c, 6) for c in ("observed", "threshold")})
+
+
 @query()
 def train_logistic(spark, folder):
     """Train on all lines, store, load again, score all lines and measure."""
