@@ -10,6 +10,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of single-process applications that name none.
+_OWN_FOLDERS: dict[str, str] = {}
+
 # The tables of the open ``temporary_tables`` blocks of this thread or task, innermost last.
 _OPEN_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("open_blocks", default=())
 
@@ -25,9 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-    folder = tempfile.mkdtemp(prefix="featurepipe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="featurepipe-")
+    return _OWN_FOLDERS[application]
 
 
 def staging_uri(spark: SparkSession, name: str) -> str:
