@@ -3,15 +3,15 @@
 Every window of ``window`` bytes names one of its ``SEED``-byte strings as its anchor (the one of least hash), so equal
 windows have equal anchors. Consecutive windows with one anchor form a chunk.
 
-1. Chunks are listed by the hash of their anchor, a few bytes each. Equal chunks of a block are settled there: all but
-   the first are repeats. An anchor that no other chunk has cannot repeat, and most chunks end here.
+1. Chunks are listed by the hash of their anchor, a few bytes each. Equal chunks (119 bits of hash agree) are settled
+   first inside each block and then among all: all but the earliest are repeats. An anchor with a single different chunk
+   is done, and most chunks end here.
 2. The bytes of the remaining chunks go to the task of their anchor. Each task orders the suffixes of its windows by
    deep-shallow sorting; equal ones stand together, and all but the earliest are repeats.
 3. Repeats come back to their documents, and every byte that one covers is removed.
 
 An anchor with more than ``HEAVY_CHUNKS`` chunks is dealt out by whole windows instead, so that neither a frequent line
-nor a third of the table ends in one task; equal windows of a block are one row then. Matches are decided on bytes,
-never on hashes alone. Earlier means a smaller id, or the same document and an earlier start.
+nor a third of the table ends in one task; equal windows of a block are one row then. Earlier means a smaller id, or the same document and an earlier start.
 
 Null and empty texts have no bytes. Where ids repeat or are null, rows follow the order (id, null first; text) and count
 as different documents. Runs of one letter and very long texts are ordinary input.
@@ -30,7 +30,7 @@ from featurepipe.llm.suffix_sort import order_suffixes
 from featurepipe.sources.staging import materialize
 
 WINDOW = 100
-SEED = 32
+SEED = 24
 HEAVY_CHUNKS = 20_000
 PIECE_BYTES = 1 << 20
 # Windows that a task orders at once.
@@ -39,14 +39,28 @@ SORT_WINDOWS = 1_500_000
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def seed_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``SEED`` bytes from each position on, by doubling."""
-    values = mix(data.astype(U64) + U64(1))
-    length = 1
-    while length < SEED:
-        values = mix(values[:-length] * U64(0x9E3779B97F4A7C15) + values[length:])
-        length *= 2
-    return values
+def byte_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of the strings of some lengths (8 times a power of two, or the sum of two such) from each position on, by doubling."""
+    values, length, known = mix(data.astype(U64) + U64(1)), 1, {}
+    for wanted in sorted({part for n in lengths for part in _parts(n)}):
+        while length < wanted:
+            values = mix(values[:-length] * U64(0x9E3779B97F4A7C15) + values[length:])
+            length *= 2
+        known[wanted] = values
+    out = []
+    for n in lengths:
+        first, *second = _parts(n)
+        if second:
+            end = len(data) - n + 1
+            out.append(mix(known[first][:end] * U64(0xD6E8FEB86659FD93) + known[second[0]][first : first + end]))
+        else:
+            out.append(known[first])
+    return out
+
+
+def _parts(n: int) -> list[int]:
+    large = 1 << (n.bit_length() - 1)
+    return [large] if n == large else [large, n - large]
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -59,25 +73,30 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def chunks(data: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Start, number of windows and anchor hash of each chunk of texts laid end to end; ``ends`` of the texts."""
+    """Start, number of windows, anchor hash and content hash of each chunk of texts laid end to end; ``ends`` of the texts."""
     if len(data) < window:
-        return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U64))
-    hashes = seed_hashes(data)
+        return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U64), np.empty(0, U64))
+    part = 1 << (window.bit_length() - 1)
+    hashes, parts = byte_hashes(data, (SEED, part))
     bits = U64(max(1, int(len(data)).bit_length()))
     keys = (hashes >> bits << bits) | np.arange(len(hashes), dtype=U64)
     anchors = (sliding_least(keys, window - SEED + 1) & ((U64(1) << bits) - U64(1))).astype(np.int64)
     # Windows that cross the end of a text are none.
-    valid = np.ones(len(anchors), dtype=bool)
     marks = np.zeros(len(anchors) + 1, dtype=np.int64)
     np.add.at(marks, np.clip(ends[:-1] - window + 1, 0, len(anchors)), 1)
     np.add.at(marks, np.clip(ends[:-1], 0, len(anchors)), -1)
-    valid &= np.cumsum(marks)[:-1] <= 0
-    new = valid.copy()
+    valid = np.cumsum(marks)[:-1] <= 0
+    new, stop = valid.copy(), valid.copy()
     new[1:] &= (anchors[1:] != anchors[:-1]) | ~valid[:-1]
-    stop = valid.copy()
     stop[:-1] &= (anchors[1:] != anchors[:-1]) | ~valid[1:]
     starts, lasts = np.flatnonzero(new), np.flatnonzero(stop)
-    return starts, lasts - starts + 1, hashes[anchors[starts]]
+    counts = lasts - starts + 1
+    # A chunk has less than four such parts, so four that are spread over it cover it.
+    room = counts + window - 1 - part
+    content = counts.astype(U64)
+    for k in range(4):
+        content = mix(content * U64(0x9E3779B97F4A7C15) + parts[starts + room * k // 3])
+    return starts, counts, hashes[anchors[starts]], content
 
 
 def _pieces(batches, window: int):
@@ -108,116 +127,120 @@ def _record(names: str, *columns) -> pa.RecordBatch:
 
 
 def _listed(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, row, start, count, settled): chunks, of which those with an equal earlier one in their block are settled."""
+    """(anchor, content, row, start): chunks; ``content`` is 55 bits of hash, 7 bits of count, and whether it is settled.
+
+    Settled are those with an equal earlier chunk in their block. They only pass through, so they are dealt out evenly.
+    """
 
     def run(batches):
         for rows, bases, ends, raw in _pieces(batches, window):
-            starts, counts, anchors = chunks(np.frombuffer(raw, np.uint8), ends, window)
+            starts, counts, anchors, contents = chunks(np.frombuffer(raw, np.uint8), ends, window)
             text = np.searchsorted(ends, starts, side="right")
             begin = np.concatenate(([0], ends[:-1]))
             row, start = rows[text], starts - begin[text] + bases[text]
-            settled = np.zeros(len(starts), dtype=bool)
-            order = np.lexsort((start, row, anchors))
-            again = np.zeros(len(order), dtype=bool)
-            same = anchors[order][1:] == anchors[order][:-1]
-            again[1:] = same
-            again[:-1] |= same
-            seen: set[tuple[int, bytes]] = set()
-            last = None
-            for k in order[again].tolist():
-                if anchors[k] != last:
-                    seen.clear()
-                    last = anchors[k]
-                own = raw[starts[k] : starts[k] + counts[k] + window - 1]
-                settled[k] = own in seen
-                seen.add(own)
-            # Settled chunks only pass through, so they are dealt out evenly.
+            content = (contents >> U64(9) << U64(9)) | counts.astype(U64) << U64(1)
+            order = np.lexsort((start, row, content, anchors))
+            settled = np.zeros(len(order), dtype=bool)
+            settled[order[1:]] = (anchors[order][1:] == anchors[order][:-1]) & (content[order][1:] == content[order][:-1])
             anchors = np.where(settled, mix(row.astype(U64) * U64(31) + start.astype(U64)), anchors)
-            yield _record("anchor row start count settled", anchors.astype(np.int64), row, start, counts, settled)
+            yield _record("anchor content row start", anchors.view(np.int64), (content | settled.astype(U64)).view(np.int64), row, start)
+
+    return docs.mapInArrow(run, "anchor bigint, content bigint, row bigint, start bigint")
+
 
-    return docs.mapInArrow(run, "anchor bigint, row bigint, start bigint, count bigint, settled boolean")
+COUNT_MASK = 0xFF
 
 
 def _repeating(listed: DataFrame) -> DataFrame:
-    """Chunks whose anchor several chunks have, and settled ones; ``kind`` 0 settled, 1 ordinary, 2 of a heavy anchor."""
+    """(row, anchor, code) of chunks that repeat or may: ``code`` is start, count and kind.
+
+    Kind 0 is settled: an equal chunk comes earlier. Kind 1 is the first of several different chunks of an anchor, kind 2 that
+    of a heavy anchor. The last group of a batch waits for the next one, as long as it is not heavy.
+    """
 
     def run(batches):
-        pending, heavy = None, None  # the last group so far; the anchor of a group that is known to be heavy
+        pending = [np.empty(0, np.int64)] * 4
+        last = None  # anchor and content of the last different chunk
+        heavy = None  # anchor of a group that is known to be heavy
         for batch in batches:
-            columns = [np.asarray(batch.column(k)) for k in range(4)] + [np.array(batch.column(4).to_pylist(), dtype=bool)]
-            if pending is not None:
-                columns = [np.concatenate((p, c)) for p, c in zip(pending, columns, strict=True)]
-            if not len(columns[0]):
+            anchor, content, row, start = (np.asarray(c) for c in batch.columns)
+            if not len(anchor):
                 continue
+            again = np.zeros(len(anchor), dtype=bool)
+            again[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
+            again[0] = last == (anchor[0], content[0])
+            last = (anchor[-1], content[-1])
+            settled = again | (content & 1 == 1)
+            yield _coded(row[settled], np.zeros(int(settled.sum()), np.int64), start[settled], content[settled], 0)
+            columns = [np.concatenate((p, c[~settled])) for p, c in zip(pending, (anchor, content, row, start), strict=True)]
             anchor = columns[0]
+            if not len(anchor):
+                continue
             heads = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
             sizes = np.diff(np.append(heads, len(anchor)))
-            tail = heads[-1]
-            if sizes[-1] > HEAVY_CHUNKS or anchor[-1] == heavy:
-                done, new_heavy = len(anchor), int(anchor[-1])
-            else:
-                done, new_heavy = tail, None
+            known = np.repeat(sizes > HEAVY_CHUNKS, sizes) | (anchor == heavy if heavy is not None else False)
+            done = len(anchor) if known[-1] else heads[-1]
+            heavy = anchor[-1] if known[-1] else None
+            yield from _kept([c[:done] for c in columns], known[:done], np.repeat(sizes, sizes)[:done])
             pending = [c[done:] for c in columns]
-            yield from _kept([c[:done] for c in columns], np.repeat(sizes, sizes)[:done], heavy if heavy is not None else new_heavy, new_heavy)
-            heavy = new_heavy
-        if pending is not None and len(pending[0]):
-            yield from _kept(pending, np.full(len(pending[0]), len(pending[0])), heavy, None)
-
-    def _kept(columns, sizes, *heavy):
-        anchor, row, start, count, settled = columns
-        large = sizes > HEAVY_CHUNKS
-        for h in heavy:
-            if h is not None:
-                large |= anchor == h
-        kind = np.where(settled, 0, np.where(large, 2, 1))
-        keep = settled | large | (sizes > 1)
-        if keep.any():
-            yield _record("row anchor start count kind", row[keep], anchor[keep], start[keep], count[keep], kind[keep])
-
-    dealt = listed.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "row bigint, anchor bigint, start bigint, count bigint, kind bigint")
+        yield from _kept(pending, np.zeros(len(pending[0]), bool), np.full(len(pending[0]), len(pending[0])))
+
+    def _kept(columns, heavy, sizes):
+        anchor, content, row, start = columns
+        for keep, kind in ((heavy, 2), (~heavy & (sizes > 1), 1)):
+            if keep.any():
+                yield _coded(row[keep], anchor[keep], start[keep], content[keep], kind)
+
+    def _coded(row, anchor, start, content, kind):
+        return _record("row anchor code", row, anchor, start << 9 | (content >> 1 & COUNT_MASK) << 2 | kind)
+
+    dealt = listed.repartition("anchor").sortWithinPartitions("anchor", "content", "row", "start")
+    return dealt.mapInArrow(run, "row bigint, anchor bigint, code bigint")
 
 
 def _with_bytes(docs: DataFrame, repeating: DataFrame, window: int) -> DataFrame:
-    """(anchor, row, start, content): the bytes of repeating chunks; settled ones have none and ``count`` instead."""
+    """(anchor, row, start, count, content): chunks with their bytes; runs of settled windows have a count only."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            lists = batch.column(2)
             out: list[tuple] = []
             windows: dict[bytes, tuple] = {}
-            for row, text, own in zip(batch.column(0).to_pylist(), texts, lists, strict=True):
+            for row, text, anchors, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
-                for item in own.as_py():
-                    start, count = item["start"], item["count"]
-                    if item["kind"] == 0:
-                        out.append((item["anchor"], row, start, count, None))
-                    elif item["kind"] == 1:
-                        out.append((item["anchor"], row, start, count, raw[start : start + count + window - 1]))
-                    else:
-                        for at in range(start, start + count):
-                            content = raw[at : at + window]
-                            mine, known = (row, at), windows.get(content)
-                            if known is None or mine < known:
-                                windows[content], mine = mine, known
-                            if mine is not None:
-                                out.append((item["anchor"] ^ at, *mine, 1, None))
+                codes, anchors = np.array(codes, np.int64), np.array(anchors, np.int64)
+                kind, count, start = codes & 3, codes >> 2 & 0x7F, codes >> 9
+                settled = kind == 0
+                for a, b in zip(*merged_spans(start[settled], start[settled] + count[settled]), strict=True):
+                    out.append((_scattered(row, int(a)), row, int(a), int(b - a), None))
+                for k in np.flatnonzero(~settled).tolist():
+                    first, number = int(start[k]), int(count[k])
+                    if kind[k] == 1:
+                        out.append((int(anchors[k]), row, first, number, raw[first : first + number + window - 1]))
+                        continue
+                    for at in range(first, first + number):
+                        own = raw[at : at + window]
+                        mine, known = (row, at), windows.get(own)
+                        if known is None or mine < known:
+                            windows[own], mine = mine, known
+                        if mine is not None:
+                            out.append((_scattered(*mine), *mine, 1, None))
                 if len(out) > 20_000:
                     yield _rows(out)
                     out = []
-            for content, (row, at) in windows.items():
-                out.append((xxhash.xxh3_64_intdigest(content) - (1 << 63), row, at, 1, content))
+            for own, (row, at) in windows.items():
+                out.append((xxhash.xxh3_64_intdigest(own) - (1 << 63), row, at, 1, own))
             if out:
                 yield _rows(out)
 
+    def _scattered(row, at):
+        return (row * 0x9E3779B97F4A7C15 + at * 0xD6E8FEB86659FD93) % (1 << 63)
+
     def _rows(out):
         anchor, row, start, count, content = zip(*out, strict=True)
-        whole = pa.array(content, pa.binary())
-        return _record("anchor row start count content", list(anchor), list(row), list(start), list(count), whole)
+        return _record("anchor row start count content", list(anchor), list(row), list(start), list(count), pa.array(content, pa.binary()))
 
-    grouped = repeating.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "count", "kind")).alias("chunks"))
-    joined = docs.join(grouped, "row").select("row", "text", "chunks")
+    grouped = repeating.groupBy("row").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("code").alias("codes"))
+    joined = docs.join(grouped, "row").select("row", "text", "anchors", "codes")
     return joined.mapInArrow(run, "anchor bigint, row bigint, start bigint, count bigint, content binary")
 
 
@@ -322,8 +345,8 @@ def remove_repeats(
     frame: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``doc_id, n_bytes, removed`` (maximal byte spans) and ``kept`` (the remaining bytes) for every row."""
-    if window <= SEED:
-        raise ValueError(f"A window must be longer than {SEED} bytes.")
+    if not SEED < window <= SEED + 126:
+        raise ValueError(f"A window must have {SEED + 1} to {SEED + 126} bytes.")
     docs, ids = _numbered(documents(frame, id_column, text_column))
     repeating = _repeating(_listed(docs, window))
     removed = _removed(_with_bytes(docs, repeating, window), window)
