@@ -63,77 +63,100 @@ def metadata(frame: DataFrame, id_column: str = "doc_id", text_column: str = "te
     )
 
 
-def _extents(points: DataFrame) -> dict[int, dict]:
-    columns = [f(c).alias(f"{n}_{c}") for c in COORDINATES for n, f in (("low", F.min), ("high", F.max))]
-    rows = points.groupBy("node").agg(*columns, F.sum("size").alias("bytes")).collect()
-    return {r["node"]: r.asDict() for r in rows}
+# A tree is a list of levels; a level gives each node its (dimension, cut). It goes to the tasks as it is, so the plans of
+# all levels look alike and none grows with the tree.
+Tree = list[dict[int, tuple[int, int]]]
 
 
-def _edges(points: DataFrame, dims: dict[int, int], inside: dict[int, tuple[int, int]]) -> dict[int, np.ndarray]:
-    """Sketched quantiles of each node along its dimension, of the points inside the interval ``(low, high]``."""
-    place = _chosen(dims)
-    low = _by_node({n: i[0] for n, i in inside.items()})
-    high = _by_node({n: i[1] for n, i in inside.items()})
-    shares = [k / EDGES for k in range(1, EDGES)]
-    rows = (
-        points.select("node", place.alias("place"))
-        .where(F.col("node").isin(list(dims)))
-        .where((F.col("place") > low) & (F.col("place") <= high))
-        .groupBy("node")
-        .agg(F.percentile_approx("place", shares, 20 * EDGES).alias("edges"))
-        .collect()
-    )
-    return {r["node"]: np.unique(np.array(r["edges"], np.int64)) for r in rows}
+def _nodes(batch: pa.RecordBatch, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Node, coordinates and size of the rows of a batch with the columns of ``COORDINATES`` and ``size`` first."""
+    places = np.stack([np.asarray(batch.column(d)) for d in range(DIMENSIONS)])
+    node = np.zeros(batch.num_rows, dtype=np.int64)
+    rows = np.arange(batch.num_rows)
+    for level in tree:
+        dims, cuts = np.zeros(max(level) + 1, np.int64), np.zeros(max(level) + 1, np.int64)
+        for n, (d, cut) in level.items():
+            dims[n], cuts[n] = d, cut
+        node = 2 * node + (places[dims[node], rows] > cuts[node])
+    return node, places, np.asarray(batch.column(DIMENSIONS))
 
 
-def _by_node(values: dict[int, int]):
-    chosen = F.lit(None).cast("bigint")
-    for node, value in values.items():
-        chosen = F.when(F.col("node") == node, F.lit(value)).otherwise(chosen)
-    return chosen
+def _plain(points: DataFrame) -> DataFrame:
+    return points.select(*COORDINATES, "size")
 
 
-def _chosen(dims: dict[int, int]):
-    chosen = F.lit(None).cast("bigint")
-    for d, name in enumerate(COORDINATES):
-        nodes = [n for n, own in dims.items() if own == d]
-        if nodes:
-            chosen = F.when(F.col("node").isin(nodes), F.col(name)).otherwise(chosen)
-    return chosen
+def _extents(points: DataFrame, tree: Tree) -> dict[int, dict]:
+    """Bytes of each node, and its least and greatest place in each dimension."""
+    names = [f"{end}_{c}" for c in COORDINATES for end in ("low", "high")]
+
+    def run(batches):
+        for batch in batches:
+            node, places, size = _nodes(batch, tree)
+            for n in np.unique(node).tolist():
+                own = places[:, node == n]
+                ends = [int(f(d)) for d in own for f in (np.min, np.max)]
+                yield pa.RecordBatch.from_pydict(dict(zip(["node", *names, "bytes"], [[v] for v in (n, *ends, int(size[node == n].sum()))], strict=True)))
 
+    parts = _plain(points).mapInArrow(run, ", ".join(f"{c} bigint" for c in ["node", *names, "bytes"]))
+    measures = [(F.min if c.startswith("low") else F.max)(c).alias(c) for c in names]
+    return {r["node"]: r.asDict() for r in parts.groupBy("node").agg(*measures, F.sum("bytes").alias("bytes")).collect()}
+
+
+def _edges(
+    points: DataFrame, tree: Tree, dims: dict[int, int], inside: dict[int, tuple[int, int]]
+) -> dict[int, np.ndarray]:
+    """Sketched quantiles of each node along its dimension, of the points inside the interval ``(low, high]``."""
+
+    def run(batches):
+        for batch in batches:
+            node, places, _ = _nodes(batch, tree)
+            for n, d in dims.items():
+                low, high = inside[n]
+                own = places[d, node == n]
+                own = own[(own > low) & (own <= high)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), n)), pa.array(own)], ["node", "place"])
 
-def _bytes_up_to(points: DataFrame, dims: dict[int, int], edges: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    shares = [k / EDGES for k in range(1, EDGES)]
+    found = _plain(points).mapInArrow(run, "node bigint, place bigint").groupBy("node")
+    rows = found.agg(F.percentile_approx("place", shares, 20 * EDGES).alias("edges")).collect()
+    return {r["node"]: np.unique(np.array(r["edges"], np.int64)) for r in rows}
+
+
+def _bytes_up_to(
+    points: DataFrame, tree: Tree, dims: dict[int, int], edges: dict[int, np.ndarray]
+) -> dict[int, np.ndarray]:
     """Bytes of each node at or below each of its edges."""
 
     def run(batches):
         for batch in batches:
-            node, place, size = (np.asarray(c) for c in batch.columns)
-            for own in np.unique(node).tolist():
-                mine = node == own
-                at = np.searchsorted(edges[own], place[mine], side="left")
-                held = np.bincount(at, weights=size[mine], minlength=len(edges[own]) + 1).astype(np.int64)
+            node, places, size = _nodes(batch, tree)
+            for n, own in edges.items():
+                mine = node == n
+                at = np.searchsorted(own, places[dims[n], mine], side="left")
+                held = np.bincount(at, weights=size[mine], minlength=len(own) + 1).astype(np.int64)
                 slot = np.flatnonzero(held)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(slot), own), pa.int64()), pa.array(slot, pa.int64()), pa.array(held[slot])], ["node", "slot", "bytes"]
+                    [pa.array(np.full(len(slot), n)), pa.array(slot), pa.array(held[slot])], ["node", "slot", "bytes"]
                 )
 
-    wanted = points.where(F.col("node").isin(list(edges))).select("node", _chosen(dims).alias("place"), "size")
-    parts = wanted.mapInArrow(run, "node bigint, slot bigint, bytes bigint")
+    parts = _plain(points).mapInArrow(run, "node bigint, slot bigint, bytes bigint")
     totals = {n: np.zeros(len(e) + 1, np.int64) for n, e in edges.items()}
     for r in parts.groupBy("node", "slot").agg(F.sum("bytes").alias("bytes")).collect():
         totals[r["node"]][r["slot"]] = r["bytes"]
     return {n: np.cumsum(t)[:-1] for n, t in totals.items()}
 
 
-def _cuts(points: DataFrame, dims: dict[int, int], extents: dict[int, dict], leaf: dict[int, float]) -> dict[int, int]:
+def _cuts(
+    points: DataFrame, tree: Tree, dims: dict[int, int], extents: dict[int, dict], leaf: dict[int, float]
+) -> dict[int, int]:
     """The place of each node up to which it holds half of its bytes."""
     half = {n: extents[n]["bytes"] / 2 for n in dims}
     inside = {n: (extents[n][f"low_{COORDINATES[d]}"] - 1, extents[n][f"high_{COORDINATES[d]}"]) for n, d in dims.items()}
     best = {n: (abs(half[n]), inside[n][0]) for n in dims}
     going = dict(dims)
     while going:
-        edges = _edges(points, going, {n: inside[n] for n in going})
-        below = _bytes_up_to(points, going, edges)
+        edges = _edges(points, tree, going, {n: inside[n] for n in going})
+        below = _bytes_up_to(points, tree, going, edges)
         for n, own in edges.items():
             error = np.abs(below[n] - half[n])
             k = int(error.argmin())
@@ -150,7 +173,7 @@ def _cuts(points: DataFrame, dims: dict[int, int], extents: dict[int, dict], lea
     # Copies of one text go to one side where that shifts few bytes.
     mask = (1 << ROW_BITS) - 1
     sides = {n: np.unique(np.array([(c & ~mask) - 1, c, c | mask], np.int64)) for n, c in cuts.items()}
-    below = _bytes_up_to(points, dims, sides)
+    below = _bytes_up_to(points, tree, dims, sides)
     for n, c in cuts.items():
         for error, side in sorted(zip(np.abs(below[n] - half[n]).tolist(), sides[n].tolist(), strict=True)):
             if side != c and error <= GROUP_SLACK * leaf[n]:
@@ -159,28 +182,45 @@ def _cuts(points: DataFrame, dims: dict[int, int], extents: dict[int, dict], lea
     return cuts
 
 
-def leaves(points: DataFrame, levels: int) -> DataFrame:
-    """The points with ``node``, the number of their leaf (0 to ``2 ** levels - 1``)."""
-    points = points.withColumn("node", F.lit(0).cast("bigint"))
-    root = None
+def grow(points: DataFrame, levels: int) -> Tree:
+    """The tree of as many levels; an empty table has none."""
+    tree: Tree = []
+    root: dict = {}
     for level in range(levels):
-        extents = _extents(points)
+        extents = _extents(points, tree)
         if not extents:
-            break
+            return []
         root = root or extents[0]
+        dims = {n: _widest(own, root) for n, own in extents.items()}
+        leaf = {n: own["bytes"] / 2 ** (levels - level) for n, own in extents.items()}
+        cuts = _cuts(points, tree, dims, extents, leaf)
+        tree.append({n: (dims[n], cuts[n]) for n in dims})
+    return tree
+
+
+def _widest(own: dict, root: dict) -> int:
+    """The dimension in which a node extends furthest, against the extent of the root."""
+    shift = TEXT_BITS + ROW_BITS
 
-        def width(node: int, name: str, extents=extents, root=root) -> float:
-            shift = TEXT_BITS + ROW_BITS
-            whole = (root[f"high_{name}"] >> shift) - (root[f"low_{name}"] >> shift)
-            own = (extents[node][f"high_{name}"] >> shift) - (extents[node][f"low_{name}"] >> shift)
-            return own / whole if whole else 0.0
+    def width(name: str) -> float:
+        whole = (root[f"high_{name}"] >> shift) - (root[f"low_{name}"] >> shift)
+        return ((own[f"high_{name}"] >> shift) - (own[f"low_{name}"] >> shift)) / whole if whole else 0.0
+
+    return max(range(DIMENSIONS), key=lambda d: width(COORDINATES[d]))
+
+
+def leaves(points: DataFrame, tree: Tree) -> DataFrame:
+    """``doc_id, size, text_crc32, text_hash`` and ``shard``, the number of the leaf, of every point."""
+    kept = ["doc_id", "size", "text_crc32", "text_hash"]
+
+    def run(batches):
+        for batch in batches:
+            shard = pa.array(_nodes(batch, tree)[0], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[DIMENSIONS + 1 :], shard], [*kept, "shard"])
 
-        dims = {n: max(range(DIMENSIONS), key=lambda d, n=n: width(n, COORDINATES[d])) for n in extents}
-        leaf = {n: extents[n]["bytes"] / 2 ** (levels - level) for n in extents}
-        cuts = _cuts(points, dims, extents, leaf)
-        right = (_chosen(dims) > _by_node(cuts)).cast("bigint")
-        points = points.withColumn("node", F.col("node") * 2 + right)
-    return points
+    # The size stands both where the tree looks for it and among the results.
+    wide = points.select(*COORDINATES, F.col("size").alias("weight"), *kept)
+    return wide.mapInArrow(run, "doc_id bigint, size bigint, text_crc32 bigint, text_hash bigint, shard int")
 
 
 def kd_shards(
@@ -202,8 +242,7 @@ def kd_shards(
             shards *= 2
     if shards & (shards - 1):
         raise ValueError("The number of shards must be a power of two.")
-    placed = leaves(points, shards.bit_length() - 1)
-    return _slots(placed.withColumn("shard", F.col("node").cast("int")))
+    return _slots(leaves(points, grow(points, shards.bit_length() - 1)))
 
 
 def _slots(placed: DataFrame) -> DataFrame:
