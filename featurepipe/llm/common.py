@@ -91,7 +91,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of a word, kept while there is room."""
 
-    def __init__(self, keep: int = 400_000):
+    def __init__(self, keep: int = 200_000):
         super().__init__()
         self.keep = keep
 

@@ -2,12 +2,14 @@
 
 1. Every text becomes the set of its distinct shingle hashes. Equal sets are one from here on: a set is known by a
    64-bit signature together with its size.
-2. Tokens are ordered from rare to frequent. Two sets that reach the threshold must share one of their first
-   ``n - ceil(t * n) + 1`` tokens in any common order, so only those enter the matrix (token, set).
-3. Grouping: sets that share tokens are compared with one leader each, and what is similar forms a group. Large groups
+2. Tokens are ordered from rare to frequent. Two sets that reach the threshold must share ``k`` of their first
+   ``n - ceil(t * n) + k`` tokens in any common order, so only those enter the matrix (token, set); ``k`` grows with
+   the set (one in ``SHARED_PART`` of its tokens), so a passage that two texts share does not make them candidates.
+3. Grouping: sets that share tokens are compared with one leader each, and what is linked forms a group. Large groups
    are blocks of at most ``GROUP_SETS`` sets, so no task holds more.
-4. Query-group overlap: the matrix, now by token and group, says which sets share a token with a *foreign* group;
-   sets whose sizes cannot fit are left out. Only those (set, group) pairs go on.
+4. Query-group overlap: the matrix, now by token and group, says which sets share enough tokens with a *foreign* group;
+   sets whose sizes cannot fit are left out. Only those (set, group) pairs go on. Sets in no group ask first, and join the
+   group that they find, so that many near misses of one origin do not have to ask each other.
 5. A group is opened in one task: the union of its sets bounds the overlap of each query, and only where the bound
    reaches the threshold is the query compared with the members. All members of a group are connected already,
    so the first link decides. Pairs inside a group need no comparison: they are one component.
@@ -37,10 +39,11 @@ from featurepipe.sources.staging import materialize
 SHINGLE = 5
 PERCENT = 80
 GROUP_SETS = 256
-FREQUENT = 6
+FREQUENT = 3
 FREQUENT_TOKENS = 200_000
+SHARED_PART = 16
 # Tokens of a task that are counted or compared together.
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 1_500_000
 
 SET = ["sig", "n"]
 
@@ -55,7 +58,12 @@ def signature(tokens: np.ndarray) -> int:
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return min(n, n - -(-percent * n // 100) + 1 + n // SHARED_PART)
+
+
+def _least_shared(percent: int, n: str = "n"):
+    """Tokens that the prefix of a set of ``n`` tokens shares at least with that of any set it is linked with."""
+    return F.lit(1) + F.floor(F.ceil(F.col(n) * percent / 100) / SHARED_PART)
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -118,9 +126,12 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int)
         for _, sets in _chunks(batches, shingle):
             distinct = {signature(s): s for s in sets if len(s)}
             flat = np.concatenate([*distinct.values(), np.empty(0, U64)])
-            at = np.searchsorted(values, flat)
-            at[at == len(values)] = 0
-            rank = np.where(values[at] == flat, places[at] + 1, 0) if len(values) else np.zeros(len(flat), np.int64)
+            rank = np.zeros(len(flat), np.int32)
+            if len(values):
+                at = np.searchsorted(values, flat).astype(np.int32)
+                at[at == len(values)] = 0
+                known = values[at] == flat
+                rank[known] = places[at[known]] + 1
             begin, tokens, sizes = 0, [], []
             for own in distinct.values():
                 r = rank[begin : begin + len(own)]
@@ -143,37 +154,31 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int)
 
 
 def _shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """Rows of tokens that several sets have, each with the first set of its token as leader."""
+    """The rows (token, sig, n) of tokens that several sets have."""
 
     def run(batches):
-        pending = None  # last row so far and whether its token began before it
-        leader = (0, 0)
+        held = None  # the last row, and whether an earlier set has its token too
         for batch in batches:
             token, sig, n = (np.asarray(c) for c in batch.columns)
-            if pending is not None:
-                token, sig, n = (np.concatenate((p, c)) for p, c in zip(pending[0], (token, sig, n), strict=True))
+            if held is not None:
+                token, sig, n = (np.concatenate((p, c)) for p, c in zip(held[0], (token, sig, n), strict=True))
             if not len(token):
                 continue
             same = (token[1:] == token[:-1]) & (sig[1:] == sig[:-1]) & (n[1:] == n[:-1])
             keep = np.concatenate(([True], ~same))
             token, sig, n = token[keep], sig[keep], n[keep]
-            first = np.concatenate(([pending is None or not pending[1]], token[1:] != token[:-1]))
-            heads = np.maximum.accumulate(np.where(first, np.arange(len(token)), -1))
-            lead_sig = np.where(heads >= 0, sig[heads], leader[0])
-            lead_n = np.where(heads >= 0, n[heads], leader[1])
-            several = ~first
-            several[:-1] |= ~first[1:]
+            goes_on = np.concatenate(([held is not None and held[1]], token[1:] == token[:-1]))
+            several = goes_on.copy()
+            several[:-1] |= goes_on[1:]
             # The last row waits for the next batch: whether its token goes on is not known yet.
-            leader = (int(lead_sig[-1]), int(lead_n[-1]))
-            pending = ((token[-1:], sig[-1:], n[-1:]), not first[-1])
             several[-1] = False
-            yield _batch(token=token[several], sig=sig[several], n=n[several], lead_sig=lead_sig[several], lead_n=lead_n[several])
-        if pending is not None and pending[1]:
-            token, sig, n = pending[0]
-            yield _batch(token=token, sig=sig, n=n, lead_sig=np.array([leader[0]]), lead_n=np.array([leader[1]]))
+            held = ((token[-1:], sig[-1:], n[-1:]), bool(goes_on[-1]))
+            yield _batch(token=token[several], sig=sig[several], n=n[several])
+        if held is not None and held[1]:
+            yield _batch(**dict(zip(("token", *SET), held[0], strict=True)))
 
     dealt = prefixes.repartition("token").sortWithinPartitions("token", "sig", "n")
-    return dealt.mapInArrow(run, "token bigint, sig bigint, n bigint, lead_sig bigint, lead_n bigint")
+    return dealt.mapInArrow(run, "token bigint, sig bigint, n bigint")
 
 
 def _texts(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
@@ -257,13 +262,22 @@ def _blocks(count: str):
     return F.ceil(F.col(count) / GROUP_SETS).cast("bigint")
 
 
-def _leader_links(matrix: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links of sets with the leader that they share most tokens with."""
+def _leader_links(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links of sets with the leader that they share most tokens with.
+
+    The leader of a token is the set that shares the largest part of its prefix, as the origin of many copies does.
+    """
+    central = F.struct("central", *SET)
+    leaders = rows.groupBy("token").agg(F.max(central).alias("lead")).select(
+        "token", F.col("lead.sig").alias("lead_sig"), F.col("lead.n").alias("lead_n")
+    )
     votes = (
-        matrix.where("sig != lead_sig OR n != lead_n")
+        rows.join(leaders, "token")
+        .where("sig != lead_sig OR n != lead_n")
         .where(_fits(percent, "n", "lead_n"))
         .groupBy("sig", "n", "lead_sig", "lead_n")
         .agg(F.count("*").alias("votes"))
+        .where(F.col("votes") >= _least_shared(percent))
         .groupBy("sig", "n")
         .agg(F.max(F.struct("votes", "lead_sig", "lead_n")).alias("best"))
         .select("sig", "n", F.col("best.lead_sig").alias("group_sig"), F.col("best.lead_n").alias("group_n"))
@@ -285,30 +299,63 @@ def _leader_links(matrix: DataFrame, texts: DataFrame, shingle: int, percent: in
     return _compare(leaders.unionByName(members), shingle, percent)
 
 
-def _foreign_links(matrix: DataFrame, texts: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links between sets of different groups."""
+def _groups(near: DataFrame) -> DataFrame:
+    """(sig, n, group_sig, group_n) of linked sets: the leader, or the leader that the leader itself is linked with.
+
+    Whatever is in a group is connected by links, which is all that a group needs.
+    """
+    step = near.select(
+        F.col("a_sig").alias("sig"), F.col("a_n").alias("n"), F.col("b_sig").alias("group_sig"), F.col("b_n").alias("group_n")
+    )
+    above = step.toDF("group_sig", "group_n", "top_sig", "top_n")
+    return step.join(above, ["group_sig", "group_n"], "left").select(
+        *SET, F.coalesce("top_sig", "group_sig").alias("group_sig"), F.coalesce("top_n", "group_n").alias("group_n")
+    )
+
+
+def _joined(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sets that a link has joined to a group, each with one such group."""
+    others = groups.select(F.col("sig").alias("b_sig"), F.col("n").alias("b_n"), "group_sig", "group_n")
+    found = links.join(others, ["b_sig", "b_n"], "left").select(
+        F.col("a_sig").alias("sig"),
+        F.col("a_n").alias("n"),
+        # A leader has no row of its own: it is the group.
+        F.struct(F.coalesce("group_sig", "b_sig").alias("group_sig"), F.coalesce("group_n", "b_n").alias("group_n")).alias("group"),
+    )
+    return found.groupBy(*SET).agg(F.min("group").alias("group")).select(*SET, "group.group_sig", "group.group_n")
+
+
+def _foreign_links(
+    matrix: DataFrame, texts: DataFrame, groups: DataFrame, shingle: int, percent: int, alone: bool
+) -> DataFrame:
+    """Links between sets of different groups.
+
+    ``alone`` lets only sets that are in no group ask, and only groups of several be asked; else all groups ask each other.
+    """
     own = (
         texts.select(*SET)
         .join(groups, SET, "left")
         .select(*SET, F.coalesce("group_sig", "sig").alias("group_sig"), F.coalesce("group_n", "n").alias("group_n"))
     )
-    own = materialize(own, "groups")
     sizes = own.groupBy("group_sig", "group_n").agg(F.count("*").alias("members"))
+    own = materialize(own.join(sizes, ["group_sig", "group_n"]), "groups")
     rows = matrix.select("token", *SET).join(own, SET)
-    by_group = rows.groupBy("token", "group_sig", "group_n").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    by_group = rows.groupBy("token", "group_sig", "group_n", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     several = by_group.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-    by_group = materialize(by_group.join(several, "token"), "token-groups")
-    queries = materialize(rows.join(several, "token"), "token-queries")
-    weighed = by_group.join(sizes, ["group_sig", "group_n"])
-    other = weighed.select("token", "low", "high", *(F.col(c).alias(f"of_{c}") for c in ("group_sig", "group_n", "members")))
+    by_group = by_group.join(several, "token")
+    queries = rows.join(several, "token")
+    if alone:
+        by_group, queries = by_group.where("members > 1"), queries.where("members = 1")
+    other = by_group.select("token", "low", "high", *(F.col(c).alias(f"of_{c}") for c in ("group_sig", "group_n", "members")))
     # One side of two groups asks the other: that of the smaller group.
-    asks = queries.join(sizes, ["group_sig", "group_n"]).join(other, "token").where(
-        (F.col("of_group_sig") != F.col("group_sig")) | (F.col("of_group_n") != F.col("group_n"))
-    )
-    asks = asks.where(
+    asks = queries.join(other, "token").where(
         F.struct("members", "group_sig", "group_n") < F.struct("of_members", "of_group_sig", "of_group_n")
     ).where((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
-    asks = asks.select(*SET, "of_group_sig", "of_group_n", "of_members").distinct()
+    asks = (
+        asks.groupBy(*SET, "of_group_sig", "of_group_n", "of_members")
+        .agg(F.count("*").alias("shared"))
+        .where(F.col("shared") >= _least_shared(percent))
+    )
     asks = materialize(
         asks.select(
             *SET,
@@ -320,7 +367,8 @@ def _foreign_links(matrix: DataFrame, texts: DataFrame, groups: DataFrame, shing
     )
     opened = asks.select("group_sig", "group_n", "blocks").distinct()
     members = (
-        own.join(opened, ["group_sig", "group_n"])
+        own.drop("members")
+        .join(opened, ["group_sig", "group_n"])
         .withColumns({"block": F.pmod(F.xxhash64("sig", "n"), F.col("blocks")), "role": F.lit(0)})
         .drop("blocks")
         .join(texts, SET)
@@ -349,7 +397,13 @@ def similar_components(
     rows = profile.where("sig IS NOT NULL")
     frequent = _frequent(profile)
     matrix = materialize(_shared_tokens(_prefixes(docs, frequent, shingle, percent)), "token-matrix")
-    found = matrix.select(*SET).distinct()
+    # A set that shares fewer tokens with all others together than it must with one is linked with none.
+    counts = matrix.groupBy(*SET).agg(F.count("*").alias("shared")).where(F.col("shared") >= _least_shared(percent))
+    found = materialize(counts, "shared-tokens")
+    matrix = materialize(
+        matrix.join(found, SET).select("token", *SET, (F.col("shared") / (F.col("n") + 16)).alias("central")), "token-matrix"
+    )
+    found = found.select(*SET)
     # Rows with a null id stand for their set only if no other row does; their key is the hash of their text.
     named = rows.where("doc_id IS NOT NULL").groupBy(*SET).agg(F.min("doc_id").alias("key"))
     unnamed = documents(frame, id_column, text_column).where("doc_id IS NULL")
@@ -359,14 +413,11 @@ def similar_components(
         reps = reps.join(hashed, SET, "left").select(*SET, F.coalesce("key", "text_key").alias("key"))
     texts = materialize(_texts(docs, reps, shingle), "set-texts")
     near = materialize(_leader_links(matrix, texts, shingle, percent), "leader-links")
-    groups = connected_components(_nodes(near)).select(
-        F.col("node.sig").alias("sig"),
-        F.col("node.n").alias("n"),
-        F.col("root.sig").alias("group_sig"),
-        F.col("root.n").alias("group_n"),
-    )
-    far = materialize(_foreign_links(matrix, texts, groups, shingle, percent), "foreign-links")
-    roots = connected_components(_nodes(near.unionByName(far)))
+    groups = _groups(near)
+    joined = materialize(_foreign_links(matrix, texts, groups, shingle, percent, alone=True), "joined-links")
+    groups = materialize(groups.unionByName(_joined(joined, groups)), "groups")
+    far = materialize(_foreign_links(matrix, texts, groups, shingle, percent, alone=False), "foreign-links")
+    roots = connected_components(_nodes(near.unionByName(joined).unionByName(far)))
     first = rows.groupBy(*SET).agg(F.min("doc_id").alias("first"))
     linked = (
         roots.select("root", F.col("node.sig").alias("sig"), F.col("node.n").alias("n"))
@@ -404,8 +455,14 @@ def _nodes(links: DataFrame) -> DataFrame:
 def drop_near_duplicates(frame: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, of which one stays for each component: that of the smallest id.
 
-    Repeated rows with one id count as one document. Rows with a null id stay, and so does every text without words.
+    Repeated rows with one id are one document and stay once. All rows with a null id stay, and all texts without words.
     """
-    found = similar_components(frame, shingle, percent)
+    found = materialize(similar_components(frame, shingle, percent), "components")
     leave = found.where("component_id != doc_id").select(F.col("doc_id").alias("_leaves")).distinct()
-    return frame.join(leave, F.col("doc_id") == F.col("_leaves"), "left_anti").dropDuplicates(frame.columns)
+    kept = frame.join(leave, F.col("doc_id") == F.col("_leaves"), "left_anti")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeated = ids.where("rows > 1").limit(1).count()
+    if not repeated:
+        return kept
+    # Rare, and the only case in which whole rows have to be compared.
+    return kept.where("doc_id IS NOT NULL").dropDuplicates().unionByName(kept.where("doc_id IS NULL"))
