@@ -66,6 +66,18 @@ def _least_shared(percent: int, n: str = "n"):
     return F.lit(1) + F.floor(F.ceil(F.col(n) * percent / 100) / SHARED_PART)
 
 
+def _least_shared_by(percent: int, n: str, m: str):
+    """The same for two sets of known sizes: the overlap that they need, less what may lie beyond the prefixes."""
+
+    def beyond(size: str):
+        size = F.col(size)
+        prefix = size - F.ceil(size * percent / 100) + 1 + F.floor(size / SHARED_PART)
+        return size - F.least(size, prefix)
+
+    needed = F.ceil((F.col(n) + F.col(m)) * percent / (100 + percent))
+    return needed - F.greatest(beyond(n), beyond(m))
+
+
 def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
@@ -351,11 +363,12 @@ def _foreign_links(
     asks = queries.join(other, "token").where(
         F.struct("members", "group_sig", "group_n") < F.struct("of_members", "of_group_sig", "of_group_n")
     ).where((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
-    asks = (
-        asks.groupBy(*SET, "of_group_sig", "of_group_n", "of_members")
-        .agg(F.count("*").alias("shared"))
-        .where(F.col("shared") >= _least_shared(percent))
+    asks = asks.groupBy(*SET, "of_group_sig", "of_group_n", "of_members").agg(
+        F.count("*").alias("shared"), F.max("high").alias("of_n")
     )
+    # The size of a group of one is known, which raises the bound.
+    least = F.when(F.col("of_members") == 1, _least_shared_by(percent, "n", "of_n")).otherwise(0)
+    asks = asks.where(F.col("shared") >= F.greatest(_least_shared(percent), least))
     asks = materialize(
         asks.select(
             *SET,
