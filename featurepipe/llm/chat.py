@@ -6,9 +6,11 @@ not the beginning of the later one, the template rewrites history: the turn is m
 it takes back. Which part of a span is the text itself is found by rendering the turn with two other texts: what stays alike
 at both ends is the template's.
 
-Prefixes begin at most ``2 * context`` turns back, so work and memory for a turn are bounded, and a conversation
-of any length is streamed in order through one task. ``context=None`` renders from the first turn on, for templates that
-look back without limit.
+Every prefix begins at the first turn, so history that any turn rewrites is seen; the work for a conversation grows with the
+square of its turns. For a template declared append-only (the span of a turn depends on this turn alone and nothing before it
+changes, as with ``marked_turns``) the earlier turns need not be rendered again: ``context`` then lets prefixes begin at most
+``2 * context`` turns back, which gives the same spans with bounded work and memory for a turn. A conversation is streamed in
+order through one task.
 
 Turns are ordered by (turn, role, text), nulls first; repeated rows are turns of their own. Null roles and texts are empty.
 Rows with a null conversation are one conversation. Columns other than these four are not kept.
@@ -23,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONTEXT = 4
+# For templates declared append-only, as ``marked_turns`` is.
+APPEND_ONLY_CONTEXT = 4
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 TRAINED_ROLES = ("assistant",)
 
@@ -102,13 +105,14 @@ class Renderer:
 def format_conversations(
     frame: DataFrame,
     template: Callable[[Messages], str] = marked_turns,
-    context: int | None = CONTEXT,
+    context: int | None = None,
     trained_roles: tuple[str, ...] = TRAINED_ROLES,
 ) -> DataFrame:
     """A row for each turn, in order: ``conv_id, position, span, takes_back, start, loss_start, loss_end``.
 
     ``span`` is what the turn adds to the formatted conversation and ``start`` where; ``loss_start`` and ``loss_end`` are code points
     of the span under the loss mask (equal: none); ``takes_back`` is above 0 where the template rewrites history.
+    A ``context`` is right for append-only templates only.
     """
 
     def run(batches):

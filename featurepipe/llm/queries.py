@@ -128,7 +128,8 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
     )
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
-    return chat.digests(chat.format_conversations(turns))
+    # The template is append-only.
+    return chat.digests(chat.format_conversations(turns, chat.marked_turns, context=chat.APPEND_ONLY_CONTEXT))
 
 
 @query

@@ -95,6 +95,24 @@ def test_rewritten_history(spark):
     assert rows[3]["span"][rows[3]["loss_start"] : rows[3]["loss_end"]] == "fine answer"
 
 
+def test_rewritten_first_turn_of_a_long_conversation(spark):
+    """By default the whole history counts: a template with the number of turns at its beginning, on 20 turns."""
+
+    def counted(messages):
+        return f"<{len(messages)} turns, first {messages[0][1] if messages else ''}>" + "".join(f"[{k}:{r}]{t};" for k, (r, t) in enumerate(messages))
+
+    turns = [("assistant" if k % 2 else "user", f"text {k}") for k in range(20)]
+    frame = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id bigint, turn bigint, role string, text string")
+    out = ""
+    for k, r in enumerate(chat.format_conversations(frame, counted).orderBy("position").collect()):
+        out = out[: len(out) - r["takes_back"]]
+        assert r["start"] == len(out) and (r["takes_back"] > 0) == (k > 0)
+        out += r["span"]
+        assert out == counted(turns[: k + 1])
+        if k == 19:
+            assert r["span"][r["loss_start"] : r["loss_end"]] == "text 19"
+
+
 def test_query(spark, sf):
     talks = {}
     for r in sorted(spark.read.parquet(f"{sf}/conversations.parquet").collect(), key=lambda r: (r["conv_id"], r["turn"])):
