@@ -167,6 +167,19 @@ def find_contamination(
     item_column: str = "item_id",
 ) -> DataFrame:
     """One row for each document: ``doc_id, n_words, n_hit, matches`` (item, place in words, longest length)."""
+    return _found(frame, items, window, block_bytes, id_column, text_column, item_column).drop("key")
+
+
+def _found(
+    frame: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    block_bytes: int = ITEM_BLOCK_BYTES,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+) -> DataFrame:
+    """``find_contamination``, with the hash of the text as ``key``."""
     spark = frame.sparkSession
     plain = documents(frame, id_column, text_column)
     passes = []
@@ -174,7 +187,7 @@ def find_contamination(
         shared = spark.sparkContext.broadcast(block)
         passes.append(_one_pass(plain, shared, window))
     if len(passes) == 1:
-        found = passes[0].drop("key")
+        found = passes[0]
     else:
         marked = [p.withColumn("copies", F.lit(1 if k == 0 else 0)) for k, p in enumerate(passes)]
         found = (
@@ -185,9 +198,9 @@ def find_contamination(
                 F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"),
                 F.sum("copies").alias("copies"),
             )
-            .select("doc_id", "n_words", "matches", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("doc_id", "key", "n_words", "matches", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         )
-    return found.select("doc_id", "n_words", covered(F.col("matches")).alias("n_hit"), "matches")
+    return found.select("doc_id", "n_words", covered(F.col("matches")).alias("n_hit"), "matches", "key")
 
 
 def _one_pass(plain: DataFrame, shared, window: int) -> DataFrame:
@@ -211,8 +224,9 @@ def _one_pass(plain: DataFrame, shared, window: int) -> DataFrame:
 def remove_contaminated(frame: DataFrame, items: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """The documents, with all their columns, in which no window of any item occurs.
 
-    Several rows with one id leave together when one of them is affected; rows with a null id always stay.
+    Of several rows with one id those leave whose own text is affected; rows with a null id always stay.
     """
-    affected = find_contamination(frame, items, window, **options).where("n_hit > 0").select("doc_id").distinct()
-    id_column = options.get("id_column", "doc_id")
-    return frame.join(affected.withColumnRenamed("doc_id", "_affected"), F.col(id_column) == F.col("_affected"), "left_anti")
+    affected = _found(frame, items, window, **options).where("n_hit > 0")
+    affected = affected.select(F.col("doc_id").alias("_affected"), F.col("key").alias("_key")).distinct()
+    own = F.xxhash64(as_text(options.get("text_column", "text"))) == F.col("_key")
+    return frame.join(affected, (F.col(options.get("id_column", "doc_id")) == F.col("_affected")) & own, "left_anti")

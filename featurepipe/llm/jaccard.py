@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import U64, WordHashes, blocks, documents, map_blocks, plain_words, shingle_hashes
+from featurepipe.llm.common import U64, WordHashes, as_text, blocks, documents, map_blocks, plain_words, shingle_hashes
 from featurepipe.llm.components import connected_components
 from featurepipe.sources.staging import materialize
 
@@ -468,8 +468,13 @@ def _nodes(links: DataFrame) -> DataFrame:
 def drop_near_duplicates(frame: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, of which one stays for each component: that of the smallest id.
 
-    Repeated rows with one id are one document and stay once. All rows with a null id stay, and all texts without words.
+    Repeated rows with one id are one document and stay once. Rows with one id and different texts are different documents.
+    All rows with a null id stay, and all texts without words.
     """
+    texts = documents(frame).select("doc_id", F.xxhash64("text").alias("text")).where("doc_id IS NOT NULL")
+    several = texts.groupBy("doc_id").agg(F.min("text").alias("least"), F.max("text").alias("most")).where("least != most")
+    if several.limit(1).count():
+        return _drop_by_text(frame, shingle, percent)
     found = materialize(similar_components(frame, shingle, percent), "components")
     leave = found.where("component_id != doc_id").select(F.col("doc_id").alias("_leaves")).distinct()
     kept = frame.join(leave, F.col("doc_id") == F.col("_leaves"), "left_anti")
@@ -479,3 +484,16 @@ def drop_near_duplicates(frame: DataFrame, shingle: int = SHINGLE, percent: int
         return kept
     # Rare, and the only case in which whole rows have to be compared.
     return kept.where("doc_id IS NOT NULL").dropDuplicates().unionByName(kept.where("doc_id IS NULL"))
+
+
+def _drop_by_text(frame: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """As ``drop_near_duplicates``, where an id has several texts: each (id, text) is a document, the smallest of a component stays."""
+    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("bigint"), as_text("text")))
+    keyed = frame.withColumn("_own", own)
+    found = materialize(similar_components(keyed, shingle, percent, id_column="_own"), "components")
+    names = keyed.where("_own IS NOT NULL").select(F.col("_own").alias("doc_id"), F.col("doc_id").alias("name")).distinct()
+    members = materialize(found.where("doc_id IS NOT NULL").select("doc_id", "component_id").distinct().join(names, "doc_id"), "members")
+    stay = members.groupBy("component_id").agg(F.min(F.struct("name", "doc_id"))["doc_id"].alias("stays"))
+    leave = members.join(stay, "component_id").where("doc_id != stays").select(F.col("doc_id").alias("_leaves"))
+    kept = keyed.join(leave, F.col("_own") == F.col("_leaves"), "left_anti").drop("_own")
+    return kept.where("doc_id IS NOT NULL").dropDuplicates().unionByName(kept.where("doc_id IS NULL"))

@@ -85,6 +85,13 @@ def test_empty_table_and_drop(docs_of):
     assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 4, 5]
 
 
+def test_drop_decides_for_each_text_of_an_id(docs_of):
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(3, two), (5, one), (5, two + " more"), (9, one), (9, one), (12, "c d e f g h i"), (12, "k l m n o p"), (None, one)]
+    kept = jaccard.drop_near_duplicates(docs_of(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, one), (3, two), (5, one), (12, "c d e f g h i"), (12, "k l m n o p")]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (102, 100)], "a int, b int")
     got = {r["node"]: r["root"] for r in connected_components(links).collect()}

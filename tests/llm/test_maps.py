@@ -179,6 +179,13 @@ def test_remove_contaminated(spark):
     assert decontaminate.find_contamination(frame.limit(0), items).count() == 0
 
 
+def test_remove_contaminated_decides_for_each_text_of_an_id(spark):
+    frame = spark.createDataFrame([(1, "a short item"), (1, "clean"), (1, None), (2, "clean")], "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    kept = decontaminate.remove_contaminated(frame, items).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(1, ""), (1, "clean"), (2, "clean")]
+
+
 def test_contamination_query(spark, sf):
     rows = {r["doc_id"]: r for r in QUERIES["op5_decontamination"](spark, sf).collect()}
     items = [(str(r["item_id"]), r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
