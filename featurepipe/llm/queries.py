@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, passages, secrets, suffix_dedup, toxicity
+from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, passages, secrets, suffix_dedup, toxicity, turn_repair
 from featurepipe.sources.staging import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,9 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = turn_repair.damage(_table(spark, folder, "conversations"))
+    return turn_repair.digests(turn_repair.repair_conversations(damaged, copies="copies"))

@@ -1,0 +1,159 @@
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+
+from featurepipe.llm import queries, turn_repair
+
+WHITE = " \t\n\v\f\r"
+
+
+def damaged(rows):
+    """The damage of the contract in plain Python: {conversation: rows}."""
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kept = out.setdefault(conv, [])
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        kept += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return {conv: sorted(kept, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])) for conv, kept in out.items()}
+
+
+def brute_force(rows):
+    """Least (cost, audit) by a table over (rows read, state) that holds whole audits."""
+    faults, seen = [], set()
+    for _, role, text in rows:
+        visible = text.strip(WHITE)
+        if not visible:
+            faults.append("blank")
+        elif (role, text) in seen:
+            faults.append("duplicate")
+        else:
+            faults.append("truncated" if visible[-1] not in ".!?" else "")
+        seen.add((role, text))
+    following = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    layer = {"": (0, "", ())}
+    for index in range(len(rows) + 1):
+        for _ in range(6):
+            for state, (cost, audit, out) in list(layer.items()):
+                for role in ("user", "assistant"):
+                    if (state, role[0]) in following:
+                        option = (cost + 2, audit + "I", (*out, (role, "")))
+                        to = following[state, role[0]]
+                        layer[to] = min(layer.get(to, option), option)
+        if index == len(rows):
+            break
+        (_, role, text), fault, after = rows[index], faults[index], {}
+        for state, (cost, audit, out) in layer.items():
+            options = [(state, (cost + 3, audit + "D", out))]
+            if fault not in ("blank", "duplicate"):
+                extra = int(fault == "truncated")
+                if (state, role[:1]) in following:
+                    options.append((following[state, role[:1]], (cost + extra, audit + "K", (*out, (role, text)))))
+                for due in ("user", "assistant"):
+                    if (state, due[0]) in following:
+                        options.append((following[state, due[0]], (cost + 2 + extra, audit + "R", (*out, (due, text)))))
+            for to, option in options:
+                after[to] = min(after.get(to, option), option)
+        layer = after
+    cost, audit, out = min(layer[state] for state in ("", "a") if state in layer)
+    turns = [turn for turn, _, _ in rows if turn is not None]
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        **{name: faults.count(name) for name in ("blank", "duplicate", "truncated")},
+        "illegal": sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows)),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": hashlib.sha256("\n".join(f"{role}:{text}" for role, text in out).encode()).hexdigest(),
+    }
+
+
+def by_conversation(frame):
+    rows = [row.asDict() for row in frame.collect()]
+    found = {row.pop("conv_id"): row for row in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def repaired(frame, **more):
+    return by_conversation(turn_repair.digests(turn_repair.repair_conversations(turn_repair.damage(frame), copies="copies", **more)))
+
+
+def table(spark, rows, parts=3):
+    return spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(parts)
+
+
+def made_up(seed, conversations, longest):
+    chance = random.Random(seed)
+    roles = ["user", "assistant", "system", "tool", "", None, "u", "superuser"]
+    texts = ["Yes.", "No!", "why", " ", "", None, "A long\ntext?", "so  ", "x.\t", "été."]
+    rows = []
+    for conv in range(conversations):
+        for _ in range(chance.randrange(longest)):
+            turn = chance.choice([None, *range(longest)])
+            role = chance.choice(roles[:2] if chance.random() < 0.7 else roles)
+            rows.append((conv if conv else None, turn, role, chance.choice([*texts, f"Text {chance.random()}."])))
+    return rows
+
+
+def test_equals_brute_force_on_the_given_table(spark, sf):
+    given = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    expected = {c: brute_force(rows) for c, rows in damaged([tuple(r) for r in given.collect()]).items()}
+    assert by_conversation(queries.QUERIES["op11_turn_repair"](spark, sf)) == expected
+
+
+@pytest.mark.parametrize("piece_rows", [2, 4096])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force_with_ties_nulls_and_pieces(spark, piece_rows, seed):
+    rows = made_up(seed, 60, 14)
+    expected = {c: brute_force(kept) for c, kept in damaged(rows).items()}
+    assert repaired(table(spark, rows), piece_rows=piece_rows) == expected
+
+
+def test_one_conversation_over_many_tasks(spark):
+    chance = random.Random(3)
+    rows = [(7, k // 2, chance.choice(["user", "assistant"]), chance.choice(["Same.", f"Other {k}", f"{k}!"])) for k in range(900)]
+    # A third of all rows are alike.
+    rows += [(7, 5, "user", "Copy.")] * 450
+    expected = {7: brute_force(damaged(rows)[7])}
+    assert repaired(table(spark, rows, 5), piece_rows=16) == expected
+
+
+def test_least_path_keeps_the_least_of_equal_costs():
+    costs = turn_repair.EditCosts()
+    solver = turn_repair.Solver(costs)
+    for roles in itertools.product(["system", "user", "assistant", "tool"], repeat=5):
+        rows = [(k, role, f"{k}.") for k, role in enumerate(roles)]
+        piece = turn_repair.Piece([turn_repair.Row((*row, 1)) for row in rows], costs)
+        cost, letters = solver.solve(piece, turn_repair.NOTHING, turn_repair.FINAL, True)
+        expected = brute_force(rows)
+        assert (cost, piece.audit(letters)) == (expected["cost"], expected["audit"])
+
+
+def test_empty_table_dropped_rows_long_text_and_clashing_columns(spark):
+    assert repaired(table(spark, [], 1)) == {}
+    # 1:4 is a row that the damage drops.
+    gone = next(t for t in range(100) if zlib.crc32(f"1:{t}".encode()) % 20 == 0)
+    rows = [(1, gone, "user", "Hello."), (2, 0, "user", "word " * 800_000 + "."), (2, 1, "assistant", "Yes.")]
+    expected = {c: brute_force(kept) for c, kept in damaged(rows).items()}
+    from pyspark.sql import functions as F
+
+    wide = table(spark, rows).withColumns({name: F.lit(1) for name in ("copies", "part", "number", "piece", "rows", "key", "audit")})
+    assert repaired(wide) == expected
+    assert expected[1]["audit"] == "" and expected[1]["cost"] == 0
+    assert expected[1]["repaired_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_own_costs_and_texts(spark):
+    rows = [(1, 0, "user", "A?"), (1, 1, "user", "B?"), (1, 2, "assistant", "C.")]
+    answer = turn_repair.repair_conversations(table(spark, rows), turn_repair.EditCosts(delete=9)).first()
+    assert answer.audit == "KIKK" and answer.cost == 2
+    assert [tuple(turn) for turn in answer.repaired] == [("user", "A?"), ("assistant", ""), ("user", "B?"), ("assistant", "C.")]
