@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import bpe, chat, decontaminate, fingerprints, jaccard, kd_shards, passages, secrets, suffix_dedup, toxicity, turn_repair
+from featurepipe.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    kd_shards,
+    passages,
+    prefix_bpe,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    turn_repair,
+)
 from featurepipe.sources.staging import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +180,14 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     damaged = turn_repair.damage(_table(spark, folder, "conversations"))
     return turn_repair.digests(turn_repair.repair_conversations(damaged, copies="copies"))
+
+
+@query
+def op12_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return prefix_bpe.encode(_table(spark, folder, "documents"), path, decoded=True).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
