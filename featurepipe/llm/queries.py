@@ -22,6 +22,7 @@ from featurepipe.llm import (
     suffix_dedup,
     toxicity,
     turn_repair,
+    whitening,
 )
 from featurepipe.sources.staging import materialize
 
@@ -191,3 +192,11 @@ def op12_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    model = whitening.fit(rows)
+    white = whitening.whiten(rows, model)
+    return whitening.by_component(white, model, whitening.identity_error(white, model))
