@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,9 @@ from pyspark.sql import DataFrame
 
 from featurepipe.llm.common import documents, map_blocks
 
-# Different pre-tokens whose ids a task remembers.
-KEPT_PRETOKENS = 300_000
+# Bytes of pre-tokens and ids that a task remembers, and what an entry weighs besides them.
+KEPT_BYTES = 48 << 20
+ENTRY_BYTES = 170
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,6 +82,7 @@ class Codec:
         # A pre-token that is a piece itself is that piece, whatever the merges lead to.
         self.whole = {piece: struct.pack("<I", rank) for piece, rank in ranks.items()}
         self.known: dict[str, bytes] = {}
+        self.room = KEPT_BYTES
 
     def _learn(self, missing: list[str]) -> None:
         rest = []
@@ -97,22 +98,19 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.split(text) for text in texts]
-        if len(self.known) > KEPT_PRETOKENS:
-            self.known.clear()
         if missing := list(set().union(*cut).difference(self.known)):
             self._learn(missing)
-        return [b"".join(map(self.known.__getitem__, tokens)) for tokens in cut]
+            self.room -= sum(ENTRY_BYTES + len(token) + len(self.known[token]) for token in missing)
+        packed = [b"".join(map(self.known.__getitem__, tokens)) for tokens in cut]
+        if self.room < 0:
+            self.known.clear()
+            self.room = KEPT_BYTES
+        return packed
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    """One codec for each Python worker."""
-    return Codec(path, pattern)
-
-
 def encode(
     frame: DataFrame, path: str, pattern: str, decoded: bool = False, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -121,8 +119,12 @@ def encode(
     ``decoded=True`` adds what the ids decode to. ``path`` must be readable on every executor.
     """
 
+    held: list[Codec] = []
+
     def run(batch):
-        own = codec(path, pattern)
+        # Tables and what is remembered belong to the task, as workers outlive it.
+        own = held[0] if held else Codec(path, pattern)
+        held[:] = [own]
         packed = own.encode(batch.column(1).to_pylist())
         out = {"doc_id": batch.column(0), "ids": packed}
         return out | {"decoded": [own.decode(ids) for ids in packed]} if decoded else out
@@ -135,8 +137,11 @@ def decode(frame: DataFrame, path: str, pattern: str, ids_column: str = "ids") -
     """``doc_id`` and ``decoded``, the bytes that the ids stand for; null ids are none."""
     from pyspark.sql import functions as F
 
+    held: list[Codec] = []
+
     def run(batch):
-        own = codec(path, pattern)
+        own = held[0] if held else Codec(path, pattern)
+        held[:] = [own]
         return {"doc_id": batch.column(0), "decoded": [own.decode(ids) for ids in batch.column(1).to_pylist()]}
 
     packed = frame.select("doc_id", F.coalesce(ids_column, F.lit(b"")).alias("text"))

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -203,11 +202,6 @@ class Scanner:
         return found
 
 
-@lru_cache(maxsize=4)
-def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    return Scanner(rules)
-
-
 def find_secrets(
     frame: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -215,8 +209,13 @@ def find_secrets(
     kinds = [rule.kind for rule in rules]
     kind = "array<struct<kind:string,start:bigint,end:bigint>>"
 
+    held: list[Scanner] = []
+
     def run(batch):
-        found = scanner(rules).scan(batch.column(1).to_pylist())
+        # The index is as large as all trigrams, so it goes with the task.
+        own = held[0] if held else Scanner(rules)
+        held[:] = [own]
+        found = own.scan(batch.column(1).to_pylist())
         spans = [[{"kind": kinds[r], "start": s, "end": e} for s, r, e in own] for own in found]
         return {"doc_id": batch.column(0), "secrets": spans}
 
@@ -257,9 +256,10 @@ def mask_secrets(frame: DataFrame, rules: tuple[Rule, ...] = RULES, text_column:
     def run(batches):
         from featurepipe.llm.common import blocks
 
+        own = Scanner(rules)
         for batch in blocks(batches, text_column):
             texts = batch.column(place).to_pylist()
-            found = scanner(rules).scan([t or "" for t in texts])
+            found = own.scan([t or "" for t in texts])
             clean = [_masked(t, s, kinds) if s else t for t, s in zip(texts, found, strict=True)]
             columns = [*batch.columns]
             columns[place] = pa.array(clean, type=batch.schema.field(place).type)

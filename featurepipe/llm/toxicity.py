@@ -16,14 +16,16 @@ any confirmed toxic text every score is 0.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import documents, map_blocks
+from featurepipe.llm.common import as_text, blocks, documents, map_blocks
 from featurepipe.llm.decontaminate import words
 
 BITS = 20
@@ -32,21 +34,35 @@ UNLABELLED = 12_000
 PREFIXES = (4, 5, 7)
 # Standard deviations by which the shares of a feature must differ.
 SIGNIFICANT = 4.0
+# Bytes of words and places that a task remembers, and what an entry weighs besides its word.
+KEPT_BYTES = 24 << 20
+ENTRY_BYTES = 320
 
 
-@lru_cache(maxsize=200_000)
-def _word_features(word: bytes) -> tuple[int, ...]:
-    import xxhash
+class WordFeatures(dict):
+    """Places of the features of a word; what it remembers is bounded in bytes and belongs to one task."""
 
-    kinds = [b"w" + word, *(b"%d" % n + word[:n] for n in PREFIXES if len(word) >= n)]
-    return tuple(xxhash.xxh32_intdigest(kind) >> (32 - BITS) for kind in kinds)
+    def __init__(self, keep_bytes: int = KEPT_BYTES):
+        super().__init__()
+        self.room = self.keep_bytes = keep_bytes
 
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        kinds = [b"w" + word, *(b"%d" % n + word[:n] for n in PREFIXES if len(word) >= n)]
+        places = tuple(xxhash.xxh32_intdigest(kind) >> (32 - BITS) for kind in kinds)
+        self.room -= ENTRY_BYTES + len(word)
+        if self.room < 0:
+            self.clear()
+            self.room = self.keep_bytes
+        self[word] = places
+        return places
 
-def features(text: str) -> np.ndarray:
+
+def features(text: str, known: WordFeatures | None = None) -> np.ndarray:
     """Places of the features that occur in a text, each once."""
+    known = WordFeatures() if known is None else known
     found: set[int] = set()
     for word in set(words(text)):
-        found.update(_word_features(word))
+        found.update(known[word])
     return np.fromiter(found, dtype=np.int32, count=len(found))
 
 
@@ -55,8 +71,9 @@ class Model:
     weights: np.ndarray
     intercept: float
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        margins = np.array([self.weights[features(t)].sum() for t in texts], dtype=np.float64) + self.intercept
+    def scores(self, texts: list[str], known: WordFeatures | None = None) -> np.ndarray:
+        known = WordFeatures() if known is None else known
+        margins = np.array([self.weights[features(t, known)].sum() for t in texts], dtype=np.float64) + self.intercept
         return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
 
 
@@ -157,11 +174,14 @@ def fit(
     rows = plain.join(F.broadcast(sampled), "doc_id").dropDuplicates(["doc_id", "confirmed"]).select("confirmed", "text")
 
     def run(batch):
+        known = held[0] if held else WordFeatures()
+        held[:] = [known]
         return {
             "confirmed": batch.column(0),
-            "places": [features(t).tobytes() for t in batch.column(1).to_pylist()],
+            "places": [features(t, known).tobytes() for t in batch.column(1).to_pylist()],
         }
 
+    held: list[WordFeatures] = []
     found = map_blocks(rows, run, "confirmed int, places binary").toArrow()
     places = [np.frombuffer(p, dtype=np.int32) for p in found.column("places").to_pylist()]
     confirmed = found.column("confirmed").to_pylist()
@@ -175,24 +195,29 @@ def fit(
 def score(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` from 0 to 1 for every row."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
+    held: list[WordFeatures] = []
 
     def run(batch):
-        return {"doc_id": batch.column(0), "score": shared.value.scores(batch.column(1).to_pylist())}
+        known = held[0] if held else WordFeatures()
+        held[:] = [known]
+        return {"doc_id": batch.column(0), "score": shared.value.scores(batch.column(1).to_pylist(), known)}
 
     return map_blocks(documents(frame, id_column, text_column), run, "doc_id bigint, score double")
 
 
 def drop_toxic(frame: DataFrame, model: Model, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
-    """The rows, with all their columns, that score below the threshold."""
-    from featurepipe.llm.common import blocks
-
+    """The rows, with all their columns, that score below the threshold. Only texts go to Python, and only scores come back."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        import pyarrow as pa
+    @F.arrow_udf("double")
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = WordFeatures()
+        for column in columns:
+            parts = [shared.value.scores(part.column(0).to_pylist(), known) for part in blocks([_as_batch(column)])]
+            yield pa.array(np.concatenate([*parts, np.empty(0)]))
+
+    return frame.where(scores(as_text(text_column)) < threshold)
 
-        for batch in blocks(batches, text_column):
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_column)).to_pylist()]
-            yield batch.filter(pa.array(shared.value.scores(texts) < threshold))
 
-    return frame.mapInArrow(run, frame.schema)
+def _as_batch(column: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([column], ["text"])
