@@ -1,6 +1,11 @@
 """The corpus pipeline: five stages, each of which works on what the one before has kept.
 
-Each stage is written as Parquet under the shared folder and read again. ``run`` gives the rows of the last stage.
+Each stage is written as Parquet under the shared folder and read again. ``run`` gives the rows of the last stage. What a stage
+staged for itself, and the table it read, are deleted once its own table is written.
+
+Null and empty texts are kept by every stage and have no tokens. Rows with equal id and text are one document from the second
+stage on, which keeps one row of each group; rows with a null id stay. Texts of any length are handled whole. Columns besides
+those of documents pass through all stages but the last. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from featurepipe.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from featurepipe.sources.staging import materialize
+from featurepipe.sources.staging import delete, staging_uri, temporary_tables
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        uri = staging_uri(spark, name)
+        with temporary_tables(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(uri)
+        docs = spark.read.schema(kept.schema).parquet(uri)
+        if before:
+            delete(spark, before)
+        before = uri
     return STAGES[-1][1](spark, docs, sf_dir)
