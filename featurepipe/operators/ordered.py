@@ -9,22 +9,22 @@ of the keys is enough to choose them.
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import add
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from featurepipe.sources.staging import materialize
+
 # Rows one bucket should hold; callers pass another number where rows are wide or tasks are small.
 BUCKET_ROWS = 200_000
 
 # Most buckets of one number column: what a driver and a sketch hold easily.
 MOST_BUCKETS = 100_000
 
-# Up to this many split points are compared one by one.
-PLAIN_COMPARISONS = 64
+# Spark numbers the rows of a partition from the lowest of so many bits.
+PLACE_BITS = 33
 
 # Sampled keys per bucket; more make the buckets more even.
 SAMPLES_PER_BUCKET = 20
@@ -67,21 +67,6 @@ def counts_and_points(frame: DataFrame, columns: list[str], side: str, bucket_ro
     return {c: (*found[c], points[c]) for c in columns}
 
 
-def split_points(frame: DataFrame, keys: dict[str, Column], rows: int, buckets: int) -> dict[str, list]:
-    """For each key about ``buckets - 1`` distinct values that cut the frame evenly, from a sample of that size.
-
-    Only how even the buckets are depends on the sample, never a result.
-    """
-    if buckets <= 1:
-        return {name: [] for name in keys}
-    wanted = SAMPLES_PER_BUCKET * buckets
-    sample = frame.select(*[key.alias(name) for name, key in keys.items()])
-    sample = sample.sample(min(1.0, wanted / rows), seed=17)
-    ordered = sample.agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in keys])
-    chosen = ordered.select(*[evenly(F.col(name), F.lit(buckets)).alias(name) for name in keys]).first()
-    return {name: list(chosen[name]) for name in keys}
-
-
 def evenly(ordered: Column, buckets: Column) -> Column:
     """The distinct elements at each 1/buckets of an ordered array."""
     places = F.when(buckets > 1, F.sequence(F.lit(1), buckets - 1)).otherwise(F.array().cast("array<int>"))
@@ -130,48 +115,27 @@ def with_bucket(frame: DataFrame, name: str, key: Column, blocks: Column) -> Dat
     return counted.withColumn(name, bucket).drop(passed)
 
 
-def bucket_among(key: Column, points: list, spark_type: str) -> Column:
-    """The same for split points the driver holds. Plain comparisons compile, where array functions do not."""
-    if len(points) <= PLAIN_COMPARISONS:
-        return _passed(key, points, spark_type)
-    width = math.ceil(math.sqrt(len(points)))
-    blocks = [points[i : i + width] for i in range(0, len(points), width)]
-    at = _passed(key, [b[0] for b in blocks], spark_type) - 1
-    table = F.array(*[F.array(*[_literal(p).cast(spark_type) for p in b]) for b in blocks])
-    inside = F.size(F.filter(F.get(table, at), lambda point: point <= key))
-    return F.when(at < 0, F.lit(0)).otherwise(at * width + inside)
-
-
-def _passed(key: Column, points: list, spark_type: str) -> Column:
-    return reduce(add, [(key >= _literal(p).cast(spark_type)).cast("int") for p in points], F.lit(0))
-
-
-def _literal(value) -> Column:
-    if hasattr(value, "asDict"):
-        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
-    return F.lit(value)
-
-
 def with_global_rank(
     frame: DataFrame, order: dict[str, Column], rank: str, rows: int, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """Add the 0-based position of each row in the order of the given unique key."""
-    key = F.struct(*[c.alias(n) for n, c in order.items()])
-    spark_type = frame.select(key.alias("key")).schema["key"].dataType.simpleString()
-    points = split_points(frame, {"key": key}, rows, bucket_count(rows, bucket_rows))["key"]
-    bucket, start = "__bucket", "__start"
-    bucketed = frame.withColumn(bucket, bucket_among(key, points, spark_type))
-    sizes = dict(bucketed.groupBy(bucket).count().collect())
-    starts, total = [], 0
-    for b in sorted(sizes):
-        starts.append(total)
-        total += sizes[b]
-    offsets = small_table(
-        frame.sparkSession, {bucket: sorted(sizes), start: starts}, f"{bucket} int, {start} long"
-    )
-    window = Window.partitionBy(bucket).orderBy(key)
+    """Add the 0-based position of each row in the order of the given unique key.
+
+    Spark cuts the rows by ranges of the key and sorts each range; the table is staged with the range and place of each row.
+    What a range must know is how many rows the ranges before it hold: one small row for each. The plan has the same size for any
+    number of rows, and no key is written into it.
+    """
+    place, bucket, start = "__place", "__bucket", "__start"
+    keys = {f"__key{i}": column for i, column in enumerate(order.values())}
+    cut = frame.withColumns(keys).repartitionByRange(bucket_count(rows, bucket_rows), *keys).sortWithinPartitions(*keys)
+    # The upper bits of this number are the partition, the lower ones the place in it.
+    placed = materialize(cut.drop(*keys).withColumn(place, F.monotonically_increasing_id()), "ranked")
+    within, of_range = F.col(place).bitwiseAND((1 << PLACE_BITS) - 1), F.shiftright(F.col(place), PLACE_BITS)
+    sizes = placed.groupBy(of_range.alias(bucket)).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(bucket, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(start))
     return (
-        bucketed.join(F.broadcast(offsets), bucket)
-        .withColumn(rank, F.row_number().over(window) - 1 + F.col(start))
-        .drop(bucket, start)
+        placed.withColumn(bucket, of_range)
+        .join(F.broadcast(starts), bucket)
+        .withColumn(rank, within + F.col(start))
+        .drop(bucket, start, place)
     )
