@@ -24,11 +24,10 @@ from featurepipe.llm import (
     turn_repair,
     whitening,
 )
+from featurepipe.llm.oracles import ORACLES  # noqa: F401
 from featurepipe.sources.staging import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-# None of these results can be computed in SQL at reasonable cost; tests compare them with brute force.
-ORACLES: dict[str, str] = {}
 
 
 def query(function):

@@ -54,5 +54,5 @@ def test_odd_rows_and_columns(spark, tmp_path):
 
 def test_registered():
     names = set(__spark_entry__.LLM_QUERIES)
-    assert names >= {"pipeline"} and {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{k}" for k in range(1, 11)}
+    assert names >= {"pipeline"} and {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{k}" for k in range(1, 14)}
     assert set(__spark_entry__.queries()) >= names
