@@ -47,13 +47,18 @@ def materialize(frame: DataFrame, name: str) -> DataFrame:
     The innermost open block of this thread owns the table; without one it belongs to the caller.
     """
     spark = frame.sparkSession
-    uri = staging_uri(spark, name)
-    if blocks := _OPEN_BLOCKS.get():
-        blocks[-1].append(uri)
+    uri = own_staging(staging_uri(spark, name))
     frame.write.parquet(uri)
     return spark.read.schema(frame.schema).parquet(uri)
 
 
+def own_staging(uri: str) -> str:
+    """Leave a table written at a place to the innermost open block of this thread, if there is one."""
+    if blocks := _OPEN_BLOCKS.get():
+        blocks[-1].append(uri)
+    return uri
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
