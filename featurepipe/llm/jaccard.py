@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import U64, WordHashes, as_text, blocks, documents, map_blocks, plain_words, shingle_hashes
+from featurepipe.llm.common import U64, WordHashes, as_text, blocks, documents, gives_back, map_blocks, plain_words, shingle_hashes
 from featurepipe.llm.components import connected_components
 from featurepipe.sources.staging import materialize
 
@@ -118,7 +118,7 @@ def _profile(docs: DataFrame, shingle: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     schema = "doc_id bigint, sig bigint, n bigint, token bigint, frequency bigint"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(gives_back(run), schema)
 
 
 def _frequent(profile: DataFrame) -> np.ndarray:
@@ -162,7 +162,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int)
                     n=np.repeat([len(s) for s in distinct.values()], sizes),
                 )
 
-    return docs.mapInArrow(run, "token bigint, sig bigint, n bigint")
+    return docs.mapInArrow(gives_back(run), "token bigint, sig bigint, n bigint")
 
 
 def _shared_tokens(prefixes: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def _shared_tokens(prefixes: DataFrame) -> DataFrame:
             yield _batch(**dict(zip(("token", *SET), held[0], strict=True)))
 
     dealt = prefixes.repartition("token").sortWithinPartitions("token", "sig", "n")
-    return dealt.mapInArrow(run, "token bigint, sig bigint, n bigint")
+    return dealt.mapInArrow(gives_back(run), "token bigint, sig bigint, n bigint")
 
 
 def _texts(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
@@ -255,7 +255,7 @@ def _compare(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     dealt = rows.repartition("group_sig", "group_n", "block").sortWithinPartitions("group_sig", "group_n", "block", "role")
     columns = dealt.select("group_sig", "group_n", "block", "role", "sig", "n", "text")
-    return columns.mapInArrow(run, "a_sig bigint, a_n bigint, b_sig bigint, b_n bigint")
+    return columns.mapInArrow(gives_back(run), "a_sig bigint, a_n bigint, b_sig bigint, b_n bigint")
 
 
 def _overlap(one: np.ndarray, other: np.ndarray) -> int:

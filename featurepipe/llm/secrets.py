@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import documents, map_blocks
+from featurepipe.llm.common import documents, gives_back, map_blocks
 
 try:  # where Python keeps its parser of expressions
     from re import _constants as sre
@@ -265,4 +265,4 @@ def mask_secrets(frame: DataFrame, rules: tuple[Rule, ...] = RULES, text_column:
             columns[place] = pa.array(clean, type=batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(gives_back(run), schema)

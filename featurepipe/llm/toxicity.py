@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import as_text, blocks, documents, map_blocks
+from featurepipe.llm.common import as_text, blocks, documents, gives_back, map_blocks
 from featurepipe.llm.decontaminate import words
 
 BITS = 20
@@ -211,6 +211,9 @@ def drop_toxic(frame: DataFrame, model: Model, threshold: float = 0.5, text_colu
 
     @F.arrow_udf("double")
     def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from gives_back(scored)(columns)
+
+    def scored(columns):
         known = WordFeatures()
         for column in columns:
             parts = [shared.value.scores(part.column(0).to_pylist(), known) for part in blocks([_as_batch(column)])]
