@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurepipe.functions.names import unique_names
-from featurepipe.operators.profile import null_counts
+from featurepipe.operators.profile import null_counts, with_null_counts
 from featurepipe.sources.staging import materialize, temporary_tables
 
 
@@ -45,9 +45,11 @@ def drop_missing_required(frame: DataFrame, columns: Iterable[str]) -> DataFrame
     return frame.dropna(how="any", subset=columns) if columns else frame
 
 
-def high_null_columns(frame: DataFrame, max_null_ratio: float = 0.95) -> list[dict]:
-    """Columns whose share of NULLs is above the limit, with that share. One pass over the frame."""
-    rows, nulls = null_counts(frame)
+def high_null_columns(
+    frame: DataFrame, max_null_ratio: float = 0.95, counted: tuple[int, dict[str, int]] | None = None
+) -> list[dict]:
+    """Columns whose share of NULLs is above the limit, with that share. One pass over the frame, unless they are counted already."""
+    rows, nulls = counted or null_counts(frame)
     ratios = {c: n / max(rows, 1) for c, n in nulls.items()}
     return [
         {"column": c, "reason": "high_null_ratio", "null_ratio": r} for c, r in ratios.items() if r > max_null_ratio
@@ -143,7 +145,7 @@ class CleanReport:
 def clean(frame: DataFrame, config: CleanConfig | None = None, uri: str | None = None) -> tuple[DataFrame, CleanReport]:
     """Rename, trim, drop incomplete rows, drop repeats, then drop columns that are nearly all NULL.
 
-    The table is written once, to ``uri`` or a staging table, and its null shares are counted on that, after the repeats
+    The table is written once, to ``uri`` or a staging table, and its NULLs are counted in the same pass, after the repeats
     are gone. Only if a column must go from a table at ``uri`` is it written again.
     """
     config = config or CleanConfig()
@@ -155,12 +157,13 @@ def clean(frame: DataFrame, config: CleanConfig | None = None, uri: str | None =
         else:
             frame = drop_duplicate_rows(frame)
     spark = frame.sparkSession
+    frame, counted = with_null_counts(frame)
     if uri:
         frame.write.mode("overwrite").parquet(uri)
         frame = spark.read.schema(frame.schema).parquet(uri)
     else:
         frame = materialize(frame, "clean")
-    dropped = high_null_columns(frame, config.max_null_ratio)
+    dropped = high_null_columns(frame, config.max_null_ratio, counted())
     result = drop_columns(frame, dropped)
     if dropped and uri:
         with temporary_tables(spark):

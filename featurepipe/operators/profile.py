@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurepipe.functions.numeric import as_double
-from featurepipe.operators.ordered import with_number_buckets
+from featurepipe.operators.ordered import spread_points, with_number_buckets
 
 # Default rank error of quantiles, as a share of the rows.
 RELATIVE_ERROR = 0.001
@@ -46,6 +46,22 @@ def null_counts(frame: DataFrame) -> tuple[int, dict[str, int]]:
     return row["rows"], {c: row["rows"] - row[f"n{i}"] for i, c in enumerate(columns)}
 
 
+def with_null_counts(frame: DataFrame) -> tuple[DataFrame, Callable[[], tuple[int, dict[str, int]]]]:
+    """The same frame, which counts its rows and NULLs while it is written, and a function that tells them afterwards.
+
+    The counts are taken in the tasks that write, where each row passes once, so the table is not read for them.
+    """
+    columns, seen = frame.columns, Observation()
+    present = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
+    watched = frame.observe(seen, F.count(F.lit(1)).alias("rows"), *present)
+
+    def counted() -> tuple[int, dict[str, int]]:
+        found = seen.get
+        return found["rows"], {c: found["rows"] - found[f"n{i}"] for i, c in enumerate(columns)}
+
+    return watched, counted
+
+
 def null_profile(frame: DataFrame) -> DataFrame:
     """One row per column: rows, NULLs, non-NULLs and the NULL share."""
     counts = [F.count(F.col(f"`{c}`")) for c in frame.columns]
@@ -259,16 +275,13 @@ def _by_range(searches: list[_Search]) -> list[list[_Search]]:
 
 def _sketch_edges(frame: DataFrame, searches: list[_Search]) -> None:
     """Cut the ranges at their sketched quantiles."""
-    steps = [k / CELLS for k in range(CELLS + 1)]
     for group in batches(_by_range(searches), 16):
-        measures = []
-        for i, (s, *_) in enumerate(group):
-            value = as_double(s.column, True)
-            measures.append(F.percentile_approx(F.when(value.between(s.low, s.high), value), steps, 10_000).alias(f"q{i}"))
-        row = frame.agg(*measures).first()
+        values = [as_double(s.column, True) for s, *_ in group]
+        wanted = {f"q{i}": (F.when(values[i].between(s.low, s.high), values[i]), CELLS) for i, (s, *_) in enumerate(group)}
+        points = spread_points(frame, wanted)
         for i, same in enumerate(group):
             for s in same:
-                s.edges = _around(row[f"q{i}"])
+                s.edges = _around([s.low, *points[f"q{i}"], s.high])
 
 
 def _count_cells(frame: DataFrame, group: list[list[_Search]]) -> None:

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from featurepipe.operators import profile
+from featurepipe.operators import ordered, profile
 
 
 def brute(values, p):
@@ -133,3 +133,27 @@ def test_passes_push_their_range_into_the_scan(spark, sf, monkeypatch):
     passes = [p for p in plans if "cell" in p]
     assert passes and all("ReadSchema: struct<l_extendedprice:double>" in p for p in passes)
     assert "GreaterThanOrEqual(l_extendedprice" in passes[-1] and "Python" not in passes[-1]
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_split_points_are_even_and_merged_in_two_levels(spark, parts):
+    frame = spark.range(200_000, numPartitions=parts).select(
+        (F.col("id") * 7919 % 200_000).cast("double").alias("x"), F.when(F.col("id") < 0, 1.0).alias("none"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.lit(float("nan"))).alias("same"),
+    )
+    points = ordered.spread_points(frame, {c: (F.col(c), 50) for c in frame.columns})
+    assert len(points["x"]) == 49 and points["none"] == [] and points["same"] == [5.0]
+    plan = ordered.merged_sketches(frame, {"x": (F.col("x"), 50)})._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("kll_merge_agg_double") == plan.count("kll_sketch_agg_double") == 2
+    edges = [0, *points["x"], 200_000]
+    assert all(0.5 < (b - a) / 4_000 < 1.5 for a, b in zip(edges, edges[1:]))
+
+
+def test_nulls_are_counted_while_the_table_is_written(spark, tmp_path):
+    rows = [(k, None if k % 4 else "x", None) for k in range(100)]
+    frame = spark.createDataFrame(rows, "`a b` long, s string, gone double").repartition(5)
+    for source in (frame, frame.where("`a b` < 0"), frame.dropDuplicates()):
+        expected = profile.null_counts(source)
+        watched, counted = profile.with_null_counts(source)
+        watched.write.mode("overwrite").parquet(str(tmp_path / "t"))
+        assert counted() == expected
