@@ -5,7 +5,8 @@ characters with the score ``-rank``, and the normaliser is the identity. The lib
 that the ranks ask for. Texts are cut into pre-tokens by the pattern first, and each different pre-token of a block
 of texts is encoded once. Decoding maps every id back to its bytes.
 
-Null and empty texts have no ids. Repeated rows stay repeated. Columns other than the id and the text are not kept.
+Null and empty texts have no ids. Repeated rows stay repeated. An empty table gives an empty result. Very long texts are encoded whole,
+each in a step of its own. Columns other than the id and the text are not kept.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ changes, as with ``marked_turns``) the earlier turns need not be rendered again:
 order through one task.
 
 Turns are ordered by (turn, role, text), nulls first; repeated rows are turns of their own. Null roles and texts are empty.
-Rows with a null conversation are one conversation. Columns other than these four are not kept.
+Rows with a null conversation are one conversation. An empty table gives an empty result. A very long text is a turn like others, rendered
+whole. Columns other than these four are not kept.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ containment and the number of distinct shingles; with fewer than ``K`` shingles
 A fingerprint is the sketch as base64 of little-endian 64-bit numbers in rising order.
 
 Null and empty texts have the empty fingerprint; two empty ones are alike (1), an empty and another one are not (0).
-A text with fewer words than a shingle is one shingle.
+A text with fewer words than a shingle is one shingle. Repeated rows have equal fingerprints. Very long texts are read whole, with 8 bytes a
+shingle in memory. An empty table gives an empty result. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations

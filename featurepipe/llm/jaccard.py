@@ -21,7 +21,9 @@ result depends on it. Nothing is capped: every candidate pair of sets in differe
 
 Null and empty texts have no shingles and are linked with nothing; a text with fewer words than a shingle is one
 shingle. Repeated rows are members of their set. Rows with a null id get the id of their component, if any.
-Two different sets of one size share a signature with probability 2**-64 for each pair of them.
+Two different sets of one size share a signature with probability 2**-64 for each pair of them. An empty table gives an empty result.
+Very long texts are one set like others, held by one task at a time as 8 bytes a shingle. Columns other than the id and the text are
+not read, so none can clash; ``drop_near_duplicates`` keeps them.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ intersects and unites postings, and only the candidates are verified by the expr
 trigrams scans all texts. The index reads whole texts, and nothing is shuffled.
 
 A match is found from left to right without overlaps for each rule; one that fails the rule's length is dropped.
-Positions are code points, ends exclusive. Null and empty texts have no spans; repeated rows stay repeated.
+Positions are code points, ends exclusive. Null and empty texts have no spans; repeated rows stay repeated. An empty table gives an
+empty result. A very long text is a block of its own, scanned whole. Other columns are not read by ``find_secrets`` and pass
+unchanged through ``mask_secrets``.
 """
 
 from __future__ import annotations

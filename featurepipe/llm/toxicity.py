@@ -11,7 +11,8 @@ their id, from rows whose id is not held out). Scoring covers all rows and reads
 parameter, or the share of toxic rows among the labels that are not held out.
 
 Null and empty texts have no features and get the score of the intercept. Repeated rows get the same score. Without
-any confirmed toxic text every score is 0.
+any confirmed toxic text every score is 0. An empty table gives an empty result. Very long texts are read whole. Columns other than
+the id and the text are not read; ``drop_toxic`` keeps them.
 """
 
 from __future__ import annotations
