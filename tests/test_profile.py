@@ -147,13 +147,3 @@ def test_split_points_are_even_and_merged_in_two_levels(spark, parts):
     assert plan.count("kll_merge_agg_double") == plan.count("kll_sketch_agg_double") == 2
     edges = [0, *points["x"], 200_000]
     assert all(0.5 < (b - a) / 4_000 < 1.5 for a, b in zip(edges, edges[1:]))
-
-
-def test_nulls_are_counted_while_the_table_is_written(spark, tmp_path):
-    rows = [(k, None if k % 4 else "x", None) for k in range(100)]
-    frame = spark.createDataFrame(rows, "`a b` long, s string, gone double").repartition(5)
-    for source in (frame, frame.where("`a b` < 0"), frame.dropDuplicates()):
-        expected = profile.null_counts(source)
-        watched, counted = profile.with_null_counts(source)
-        watched.write.mode("overwrite").parquet(str(tmp_path / "t"))
-        assert counted() == expected
