@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import as_text, blocks, documents, gives_back, map_blocks
+from featurepipe.llm.common import as_text, blocks, documents, give_back, gives_back, map_blocks
 from featurepipe.llm.decontaminate import words
 
 BITS = 20
@@ -183,9 +183,18 @@ def fit(
         }
 
     held: list[WordFeatures] = []
-    found = map_blocks(rows, run, "confirmed int, places binary").toArrow()
+    model = _fitted(map_blocks(rows, run, "confirmed int, places binary"), prior)
+    # The rows that were learnt from are gone; the driver need not hold their memory while it goes on.
+    give_back()
+    return model
+
+
+def _fitted(rows: DataFrame, prior: float) -> Model:
+    """A model from at most the asked-for number of confirmed and unlabelled rows."""
+    found = rows.toArrow()
     places = [np.frombuffer(p, dtype=np.int32) for p in found.column("places").to_pylist()]
     confirmed = found.column("confirmed").to_pylist()
+    del found
     return fit_arrays(
         [p for p, c in zip(places, confirmed, strict=True) if c],
         [p for p, c in zip(places, confirmed, strict=True) if not c],
