@@ -6,13 +6,14 @@
    ``n - ceil(t * n) + k`` tokens in any common order, so only those enter the matrix (token, set); ``k`` grows with
    the set (one in ``SHARED_PART`` of its tokens), so a passage that two texts share does not make them candidates.
 3. Grouping: sets that share tokens are compared with one leader each, and what is linked forms a group. Large groups
-   are blocks of at most ``GROUP_SETS`` sets, so no task holds more.
+   are blocks of at most ``GROUP_SETS`` sets, so no task holds more. Near misses, which no link joins to a group, are grouped with
+   the others of their leader too, in loose groups of about half as many; sets of a loose group are compared with each other.
 4. Query-group overlap: the matrix, now by token and group, says which sets share enough tokens with a *foreign* group;
    sets whose sizes cannot fit are left out. Only those (set, group) pairs go on. Sets in no group ask first, and join the
    group that they find, so that many near misses of one origin do not have to ask each other.
 5. A group is opened in one task: the union of its sets bounds the overlap of each query, and only where the bound
-   reaches the threshold is the query compared with the members. All members of a group are connected already,
-   so the first link decides. Pairs inside a group need no comparison: they are one component.
+   reaches the threshold is the query compared with the members. All members of a group that links have formed are
+   connected already, so the first link decides and pairs inside it need no comparison. A loose group gives all its links.
 6. Components of all links, labelled with the smallest document id.
 
 The order of tokens only matters for cost: tokens that occur ``FREQUENT`` times or more in some block of sets come
@@ -223,9 +224,10 @@ def _fits(percent: int, n: str, m: str):
 
 
 def _compare(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Open blocks of rows (group_sig, group_n, block, role, sig, n, text): role 0 members, role 1 queries.
+    """Open blocks of rows (group_sig, group_n, block, role, sig, n, text): role 0 members, role 1 queries, role 2 members as queries.
 
-    Gives a link (a_sig, a_n, b_sig, b_n) for each query that reaches the threshold with a member.
+    Gives a link (a_sig, a_n, b_sig, b_n) for each query that reaches the threshold with a member; in a loose group (its
+    ``group_n`` is negative) with each such member. Members as queries ask those of smaller signature only.
     """
 
     def run(batches):
@@ -247,11 +249,14 @@ def _compare(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
                 if not members or not _may(_overlap(union, tokens), n, least, percent):
                     continue
                 for other, other_sig, other_n in members:
+                    if role == 2 and (other_sig, other_n) >= (sig, n):
+                        continue
                     if 100 * min(n, other_n) < percent * max(n, other_n):
                         continue
                     if _may(_overlap(other, tokens), n, other_n, percent):
                         links.append((sig, n, other_sig, other_n))
-                        break
+                        if group_n >= 0:
+                            break
             if links:
                 yield _batch(**dict(zip(("a_sig", "a_n", "b_sig", "b_n"), map(list, zip(*links, strict=True)), strict=True)))
 
@@ -276,8 +281,8 @@ def _blocks(count: str):
     return F.ceil(F.col(count) / GROUP_SETS).cast("bigint")
 
 
-def _leader_links(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links of sets with the leader that they share most tokens with.
+def _leaders(rows: DataFrame, percent: int) -> DataFrame:
+    """(sig, n, group_sig, group_n): for each set the leader that it shares most tokens with.
 
     The leader of a token is the set that shares the largest part of its prefix, as the origin of many copies does.
     """
@@ -285,7 +290,7 @@ def _leader_links(rows: DataFrame, texts: DataFrame, shingle: int, percent: int)
     leaders = rows.groupBy("token").agg(F.max(central).alias("lead")).select(
         "token", F.col("lead.sig").alias("lead_sig"), F.col("lead.n").alias("lead_n")
     )
-    votes = (
+    return (
         rows.join(leaders, "token")
         .where("sig != lead_sig OR n != lead_n")
         .where(_fits(percent, "n", "lead_n"))
@@ -296,7 +301,10 @@ def _leader_links(rows: DataFrame, texts: DataFrame, shingle: int, percent: int)
         .agg(F.max(F.struct("votes", "lead_sig", "lead_n")).alias("best"))
         .select("sig", "n", F.col("best.lead_sig").alias("group_sig"), F.col("best.lead_n").alias("group_n"))
     )
-    chosen = materialize(votes, "leaders")
+
+
+def _leader_links(chosen: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links of sets with the leaders that they have chosen."""
     size = chosen.groupBy("group_sig", "group_n").agg(F.count("*").alias("members"))
     size = size.withColumn("blocks", _blocks("members"))
     leaders = (
@@ -339,6 +347,28 @@ def _joined(links: DataFrame, groups: DataFrame) -> DataFrame:
     return found.groupBy(*SET).agg(F.min("group").alias("group")).select(*SET, "group.group_sig", "group.group_n")
 
 
+def _loose_groups(chosen: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sig, n, group_sig, group_n) of near misses: sets in no group, with those that have chosen the same leader.
+
+    Many of them are dealt over several groups, whose sizes are about half of ``GROUP_SETS``.
+    """
+    placed = groups.select(*SET).unionByName(groups.select(F.col("group_sig").alias("sig"), F.col("group_n").alias("n")))
+    missed = chosen.join(placed.distinct(), SET, "left_anti")
+    size = missed.groupBy("group_sig", "group_n").agg(F.count("*").alias("members")).where("members > 1")
+    deal = F.pmod(F.xxhash64("n", "sig"), F.ceil(2 * F.col("members") / GROUP_SETS))
+    # A size below zero marks a loose group, and no set has one.
+    return missed.join(size, ["group_sig", "group_n"]).select(
+        *SET, F.xxhash64("group_sig", "group_n", deal).alias("group_sig"), (-F.col("group_n")).alias("group_n")
+    )
+
+
+def _loose_links(loose: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links inside loose groups."""
+    members = loose.join(texts, SET).withColumn("block", F.lit(0).cast("bigint"))
+    roles = F.explode(F.array(F.lit(0), F.lit(2)))
+    return _compare(members.withColumn("role", roles), shingle, percent)
+
+
 def _foreign_links(
     matrix: DataFrame, texts: DataFrame, groups: DataFrame, shingle: int, percent: int, alone: bool
 ) -> DataFrame:
@@ -376,7 +406,7 @@ def _foreign_links(
             *SET,
             F.col("of_group_sig").alias("group_sig"),
             F.col("of_group_n").alias("group_n"),
-            _blocks("of_members").alias("blocks"),
+            F.when(F.col("of_group_n") < 0, 1).otherwise(_blocks("of_members")).alias("blocks"),
         ),
         "group-queries",
     )
@@ -427,12 +457,16 @@ def similar_components(
         hashed = _unnamed_keys(unnamed, shingle)
         reps = reps.join(hashed, SET, "left").select(*SET, F.coalesce("key", "text_key").alias("key"))
     texts = materialize(_texts(docs, reps, shingle), "set-texts")
-    near = materialize(_leader_links(matrix, texts, shingle, percent), "leader-links")
+    chosen = materialize(_leaders(matrix, percent), "leaders")
+    near = materialize(_leader_links(chosen, texts, shingle, percent), "leader-links")
     groups = _groups(near)
     joined = materialize(_foreign_links(matrix, texts, groups, shingle, percent, alone=True), "joined-links")
     groups = materialize(groups.unionByName(_joined(joined, groups)), "groups")
-    far = materialize(_foreign_links(matrix, texts, groups, shingle, percent, alone=False), "foreign-links")
-    roots = connected_components(_nodes(near.unionByName(joined).unionByName(far)))
+    loose = materialize(_loose_groups(chosen, groups), "loose-groups")
+    inner = materialize(_loose_links(loose, texts, shingle, percent), "loose-links")
+    far = _foreign_links(matrix, texts, groups.unionByName(loose), shingle, percent, alone=False)
+    far = materialize(far, "foreign-links")
+    roots = connected_components(_nodes(near.unionByName(joined).unionByName(inner).unionByName(far)))
     first = rows.groupBy(*SET).agg(F.min("doc_id").alias("first"))
     linked = (
         roots.select("root", F.col("node.sig").alias("sig"), F.col("node.n").alias("n"))

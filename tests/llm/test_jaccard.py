@@ -78,6 +78,29 @@ def test_equals_all_pairs(spark, docs_of, monkeypatch, size, percent, group):
     assert got == wanted
 
 
+@pytest.mark.parametrize("group", [256, 12])
+def test_near_misses_of_one_origin(docs_of, monkeypatch, group):
+    """Many near misses of one text, of which some are linked with each other, in one loose group or several."""
+    monkeypatch.setattr(jaccard, "GROUP_SETS", group)
+    chance = random.Random(9)
+    origin = [f"o{k}" for k in range(60)]
+    edits = [[(chance.randrange(60), f"e{e}_{k}") for k in range(chance.choice([2, 3, 4]))] for e in range(25)]
+    docs = [" ".join(origin)]
+    for _ in range(150):
+        own = list(origin)
+        for place, word in sum(chance.sample(edits, 2), []):
+            own[place] = word
+        if chance.random() < 0.5:
+            own[chance.randrange(60)] = f"x{len(docs)}"
+        docs.append(" ".join(own[: chance.choice([60, 60, 50])]))
+    rows = list(enumerate(docs))
+    sizes, loose_links = [], jaccard._loose_links
+    monkeypatch.setattr(jaccard, "_loose_links", lambda loose, *more: sizes.append(loose.count()) or loose_links(loose, *more))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(docs_of(rows, parts=3), 4, 85).collect()}
+    assert got == dict(enumerate(brute(rows, 4, 85)))
+    assert sizes[0] > 20 and len({c for _, c in got.values()}) < len(got)
+
+
 def test_empty_table_and_drop(docs_of):
     frame = docs_of(["a b c d e f g h i j k l", "a b c d e f g h i j k l", "", "", None, "x"]).withColumn("token", F.lit(1))
     assert jaccard.similar_components(frame.limit(0)).count() == 0
