@@ -44,7 +44,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every remaining document."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.id_arrays(bpe.encode(docs, path, public_tokenizers.PATTERN))
+    return bpe.encode_arrays(docs, path, public_tokenizers.PATTERN)
 
 
 STAGES = [

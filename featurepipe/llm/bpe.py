@@ -13,15 +13,16 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from featurepipe.llm.common import documents, map_blocks
+from featurepipe.llm.common import _parsed, arrow_schema, blocks, documents, gives_back, map_blocks, table_batch
 
 # Bytes of pre-tokens and ids that a task remembers, and what an entry weighs besides them.
 KEPT_BYTES = 48 << 20
@@ -79,12 +80,16 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.characters = byte_characters()
         self.ids = np.array(sorted(ranks.values()), dtype="<u4")
-        self.bytes_of = {rank: piece for piece, rank in ranks.items()}
         # A pre-token that is a piece itself is that piece, whatever the merges lead to.
         self.whole = {piece: struct.pack("<I", rank) for piece, rank in ranks.items()}
         self.known: dict[str, bytes] = {}
         self.room = KEPT_BYTES
 
+    @cached_property
+    def bytes_of(self) -> dict[int, bytes]:
+        """Only decoding needs this table."""
+        return {struct.unpack("<I", rank)[0]: piece for piece, rank in self.whole.items()}
+
     def _learn(self, missing: list[str]) -> None:
         rest = []
         for token in missing:
@@ -120,18 +125,37 @@ def encode(
     ``decoded=True`` adds what the ids decode to. ``path`` must be readable on every executor.
     """
 
-    held: list[Codec] = []
+    def columns(own: Codec, packed: list[bytes]) -> dict:
+        return {"ids": packed} | ({"decoded": [own.decode(ids) for ids in packed]} if decoded else {})
 
-    def run(batch):
+    schema = "doc_id bigint, ids binary" + ", decoded binary" * decoded
+    return _encoded(documents(frame, id_column, text_column), path, pattern, columns, schema)
+
+
+def encode_arrays(frame: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id`` and ``token_ids``, an array of integers: ``id_arrays`` of ``encode`` in one step, as two would hold two workers a task."""
+    schema = "doc_id bigint, token_ids array<int>"
+    return _encoded(documents(frame, id_column, text_column), path, pattern, lambda _, packed: {"token_ids": _as_arrays(packed)}, schema)
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, columns: Callable[[Codec, list[bytes]], dict], schema: str) -> DataFrame:
+    """``doc_id`` and what ``columns`` makes of the packed ids of a block of texts."""
+
+    def run(batches):
         # Tables and what is remembered belong to the task, as workers outlive it.
-        own = held[0] if held else Codec(path, pattern)
-        held[:] = [own]
-        packed = own.encode(batch.column(1).to_pylist())
-        out = {"doc_id": batch.column(0), "ids": packed}
-        return out | {"decoded": [own.decode(ids) for ids in packed]} if decoded else out
+        own = None
+        for batch in blocks(batches, limit=1 << 18):
+            own = own or Codec(path, pattern)
+            yield table_batch({"doc_id": batch.column(0)} | columns(own, own.encode(batch.column(1).to_pylist())), target)
 
-    schema = "doc_id bigint, ids binary" + ", decoded binary" * decoded
-    return map_blocks(documents(frame, id_column, text_column), run, schema, limit=1 << 20)
+    target = arrow_schema(_parsed(schema))
+    return docs.mapInArrow(gives_back(run), schema)
+
+
+def _as_arrays(packed: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, packed)], dtype=np.int64) // 4
+    flat = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(flat))
 
 
 def decode(frame: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
@@ -153,10 +177,6 @@ def id_arrays(frame: DataFrame, ids_column: str = "ids") -> DataFrame:
     """``doc_id`` and the ids as an array of integers."""
 
     def run(batch):
-        packed = batch.column(1)
-        lengths = np.asarray(pc.binary_length(packed)) // 4
-        ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-        flat = np.frombuffer(b"".join(packed.to_pylist()), dtype="<u4").astype(np.int32)
-        return {"doc_id": batch.column(0), "token_ids": pa.ListArray.from_arrays(ends, pa.array(flat))}
+        return {"doc_id": batch.column(0), "token_ids": _as_arrays(batch.column(1).to_pylist())}
 
     return map_blocks(frame.select("doc_id", frame[ids_column].alias("text")), run, "doc_id bigint, token_ids array<int>")

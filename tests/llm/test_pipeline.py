@@ -52,6 +52,16 @@ def test_odd_rows_and_columns(spark, tmp_path):
     assert sorted((r["doc_id"] or 0) for r in own.collect()) == [0, 1, 4, 5, 6, 7]
 
 
+def test_a_task_of_the_last_stage_holds_one_worker(spark):
+    rows = [(1, "one two"), (2, None), (None, ""), (3, "a" * 3000), (3, "\u00e9 \U0001f600 x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tokens = corpus_pipeline.tokenize(spark, docs, "")
+    assert tokens._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    two_steps = bpe.id_arrays(bpe.encode(docs, path, public_tokenizers.PATTERN))
+    assert tokens.schema == two_steps.schema and sorted(map(str, tokens.collect())) == sorted(map(str, two_steps.collect()))
+
+
 def test_registered():
     names = set(__spark_entry__.LLM_QUERIES)
     assert names >= {"pipeline"} and {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{k}" for k in range(1, 14)}
