@@ -28,6 +28,24 @@ def test_csv(spark, tmp_path):
     assert pulled.count() == 2
 
 
+def test_pull_adds_columns(spark, tmp_path):
+    spark.createDataFrame([(1, "R"), (2, None)], "a long, flag string").write.parquet(str(tmp_path / "t"))
+    request = readers.PullRequest("parquet", str(tmp_path / "t"), added_columns=["CASE WHEN flag = 'R' THEN 1D ELSE 0D END AS y"])
+    pulled = readers.pull(spark, request)
+    assert pulled.columns == ["a", "flag", "y"] and {(r["a"], r["y"]) for r in pulled.collect()} == {(1, 1.0), (2, 0.0)}
+
+
+@pytest.mark.parametrize("name", ["staged_run", "stage_manifests"])
+def test_whole_runs_read_the_given_table(spark, monkeypatch, name):
+    """The first table that a run writes is its own raw one, made from the given files."""
+    from featurepipe.plans import catalog, flow
+
+    sources = []
+    monkeypatch.setattr(flow, "pull", lambda s, request: sources.append(request.input_uri) or readers.pull(s, request))
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sources == ["/root/testdata/sf0.001/lineitem.parquet"]
+
+
 def test_pull_dispatch(spark):
     with pytest.raises(ValueError, match="Unsupported"):
         readers.pull(spark, readers.PullRequest("magic"))
